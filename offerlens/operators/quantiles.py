@@ -1,0 +1,163 @@
+"""Exact quantiles that do not gather a column in one place.
+
+The built-in exact percentile keeps every distinct value in one buffer. That is
+used up to a checked row count. Beyond it, a sketch brackets each quantile with
+two values, a count tells how many values lie below and inside the bracket, and
+only the distinct values inside it are ranked. Brackets that still hold too
+many distinct values are narrowed again.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from offerlens.functions.scalars import col
+
+MAX_BUFFERED = 200_000
+SKETCH_ACCURACY = 10_000
+
+
+@dataclass
+class _Bracket:
+    """Where one quantile lies: ``low <= value <= high`` (None = open end)."""
+
+    column: str
+    ranks: tuple[int, int]  # 0-based positions of the two neighbours among the filled values
+    size: int  # filled values inside the bracket
+    low: float | None = None
+    high: float | None = None
+    below: int = 0  # filled values under ``low``
+    distinct: int = 0
+
+    def inside(self) -> Column:
+        """The value where it lies in the bracket, else NULL."""
+        value = col(self.column).cast("double")
+        if self.low is not None:
+            value = F.when(value >= F.lit(self.low), value)
+        if self.high is not None:
+            value = F.when(value <= F.lit(self.high), value)
+        return value
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    max_buffered: int = MAX_BUFFERED,
+) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles per column; None for a column without values."""
+    if not columns:
+        return {}
+    value = {c: col(c).cast("double") for c in columns}
+    if df.count() <= max_buffered:
+        grid = F.array(*[F.lit(float(p)) for p in probabilities])
+        found = df.agg(*[F.percentile(value[c], grid).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+        return {c: found[f"q{i}"] or [None] * len(probabilities) for i, c in enumerate(columns)}
+
+    filled = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    sizes = {c: filled[f"n{i}"] for i, c in enumerate(columns)}
+    brackets = {
+        (c, p): _Bracket(c, _neighbours(p, n), n) for c, n in sizes.items() if n for p in probabilities
+    }
+    statistics = _order_statistics(df, list(brackets.values()), max_buffered)
+    result = {}
+    for c, n in sizes.items():
+        row = []
+        for p in probabilities:
+            if not n:
+                row.append(None)
+                continue
+            lower, upper = statistics[c, _neighbours(p, n)]
+            share = p * (n - 1) - math.floor(p * (n - 1))
+            row.append(lower * (1 - share) + upper * share)
+        result[c] = row
+    return result
+
+
+def _neighbours(p: float, n: int) -> tuple[int, int]:
+    lower = math.floor(p * (n - 1))
+    return lower, min(lower + 1, n - 1)
+
+
+def _order_statistics(df, pending, max_buffered) -> dict[tuple, tuple[float, float]]:
+    found = {}
+    max_buffered = max(max_buffered, 64)  # a bracket cannot get smaller than a few values
+    while pending:
+        _narrow(df, pending)
+        found.update({(b.column, b.ranks): (b.low, b.low) for b in pending if b.low == b.high})
+        pending = [b for b in pending if b.low != b.high]
+        _measure(df, pending)
+        found.update(_rank_inside(df, [b for b in pending if b.distinct <= max_buffered]))
+        pending = [b for b in pending if b.distinct > max_buffered]
+    return found
+
+
+def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Tighten the brackets by sketches; brackets with the same range share one."""
+    # Twice the guaranteed rank error on either side keeps the wanted ranks inside.
+    margin = 2.0 / SKETCH_ACCURACY
+    shared: dict[tuple, list[_Bracket]] = {}
+    for b in brackets:
+        shared.setdefault((b.column, b.low, b.high), []).append(b)
+    sketches = []
+    for i, group in enumerate(shared.values()):
+        edges = []
+        for b in group:
+            step = 1.0 / b.size
+            edges.append(max((b.ranks[0] - b.below) * step - margin - step, 0.0))
+            edges.append(min((b.ranks[1] - b.below) * step + margin + 2 * step, 1.0))
+        sketches.append(F.percentile_approx(group[0].inside(), edges, SKETCH_ACCURACY).alias(f"s{i}"))
+    found = df.agg(*sketches).first()
+    for i, group in enumerate(shared.values()):
+        for j, b in enumerate(group):
+            b.low, b.high = found[f"s{i}"][2 * j], found[f"s{i}"][2 * j + 1]
+
+
+def _measure(df: DataFrame, brackets: list[_Bracket]) -> None:
+    """Count what lies below and inside each bracket."""
+    if not brackets:
+        return
+    counts = []
+    for i, b in enumerate(brackets):
+        counts += [
+            F.count_if(col(b.column).cast("double") < F.lit(b.low)).alias(f"below{i}"),
+            F.count(b.inside()).alias(f"size{i}"),
+            F.approx_count_distinct(b.inside()).alias(f"distinct{i}"),
+        ]
+    seen = df.agg(*counts).first()
+    for i, b in enumerate(brackets):
+        b.below, b.size, b.distinct = seen[f"below{i}"], seen[f"size{i}"], seen[f"distinct{i}"]
+        if b.ranks[0] < b.below or b.ranks[1] >= b.below + b.size:
+            raise AssertionError(f"bracket lost ranks {b.ranks} of {b.column}")
+
+
+def _rank_inside(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple, tuple[float, float]]:
+    """Rank the few distinct values inside each bracket and pick the wanted ones."""
+    if not brackets:
+        return {}
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("bracket"), F.lit(b.ranks[0] - b.below).alias("lower"),
+                 F.lit(b.ranks[1] - b.below).alias("upper"), b.inside().alias("value"))
+        for i, b in enumerate(brackets)
+    ])
+    counts = (
+        df.select(F.inline(cells)).where(F.col("value").isNotNull())
+        .groupBy("bracket", "lower", "upper", "value").agg(F.count("*").alias("n"))
+    )
+    upto = F.sum("n").over(Window.partitionBy("bracket").orderBy("value"))
+
+    def first_beyond(rank: str) -> Column:
+        return F.min(F.when(F.col("upto") > F.col(rank), F.col("value")))
+
+    rows = (
+        counts.withColumn("upto", upto).groupBy("bracket")
+        .agg(first_beyond("lower").alias("low"), first_beyond("upper").alias("high")).collect()
+    )
+    return {
+        (brackets[r["bracket"]].column, brackets[r["bracket"]].ranks): (r["low"], r["high"]) for r in rows
+    }
