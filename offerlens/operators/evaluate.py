@@ -70,7 +70,7 @@ def roc_auc(
     scored: DataFrame, groups: Sequence[str] = (), rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; NULL if a class is absent."""
-    return _auc(score_counts(scored, groups), groups, rows_per_range)
+    return _auc(stage(score_counts(scored, groups), "scores"), groups, rows_per_range)
 
 
 def _auc(counts: DataFrame, groups: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
@@ -138,7 +138,8 @@ def roc_curve(
     ``drop_intermediate`` leaves out points on a straight line between their
     neighbours, as these do not change the curve.
     """
-    ranked = running_totals(score_counts(scored), "score", ["pos", "neg"], (), rows_per_range)
+    counts = stage(score_counts(scored), "scores")
+    ranked = running_totals(counts, "score", ["pos", "neg"], (), rows_per_range)
     points = ranked.select(
         F.col("score").alias("threshold"),
         ((F.col("above_neg") + F.col("neg")) / F.col("all_neg")).alias("fpr"),

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerlens.functions.scalars import col
-from offerlens.session import stage
 
 ROWS_PER_RANGE = 50_000
 
@@ -43,9 +42,10 @@ def running_totals(
     ``df`` has one row per group and value of ``order`` (a finite double), so no
     value is heavier than another. Adds per sum column ``above_<name>`` (rows
     strictly above) and ``all_<name>`` (the whole group), and ``next_<name>``:
-    the value of the row just below, NULL on the last one.
+    the value of the row just below, NULL on the last one. ``df`` is read
+    several times, so callers pass a staged table.
     """
-    ranged = stage(_ranges(stage(df, "ordered"), order, rows_per_range), "ranged")
+    ranged = _ranges(df, order, rows_per_range)
     keys = [*groups, "range"]
     first = F.max_by(F.struct(*sums), order)
     per_range = ranged.groupBy(*keys).agg(

@@ -55,7 +55,7 @@ def find_cuts(
         return []
     spark = df.sparkSession
     keyed = df.select(col(target).alias("cls"), digest.alias("digest"))
-    length = prefix_length or _prefix_length(df.count())
+    length = prefix_length or _prefix_length(df.count())  # reads row counts, no columns
     prefix = F.substring("digest", 1, length)
     # Bounded window: at most 16 ** length rows per class.
     order = Window.partitionBy("cls").orderBy("prefix")
