@@ -92,3 +92,23 @@ def uniform_sql(seed: int, purpose: str, key: list[str]) -> str:
 def digest_sql(seed: int, purpose: str, key: list[str]) -> str:
     parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in key)
     return f"md5(concat_ws(':', '{seed}', '{purpose}', {parts}))"
+
+
+SCORED = f"""
+scored AS (
+  SELECT "MES", "CLIENTE", CAST("FLAG_VENTA" AS INTEGER) AS label,
+         round({uniform_sql(42, 'score', ['"MES"', '"CLIENTE"'])} * CAST(0.6 AS DOUBLE)
+               + "FLAG_VENTA" * CAST(0.25 AS DOUBLE), 4) AS score
+  FROM panel)"""
+
+
+def over_scored(body: str, ctes: str = "") -> str:
+    """``body`` may read ``scored``: label and score of every panel row."""
+    return over_panel(body, SCORED + (", " + ctes if ctes else ""))
+
+
+def rounded_sql(columns: dict[str, str], digits: int = 6) -> str:
+    """Select list of name -> kind, with doubles rounded."""
+    return ", ".join(
+        f'round("{c}", {digits}) AS "{c}"' if kind == "double" else f'"{c}"' for c, kind in columns.items()
+    )
