@@ -179,16 +179,17 @@ def as_map(counts: DataFrame, key: str = "value", value: str = "count") -> Colum
 
 def validation_summary(df: DataFrame, source: str, target: str = TARGET, month: str = MONTH) -> DataFrame:
     """The validation document as one row: shape, types, duplicates, nulls, distributions."""
-    nulls = null_report(df)
-    return df.agg(F.count("*").alias("rows")).select(
+    gaps = [F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    counts = [F.col(f"n{i}") for i in range(len(gaps))]
+    return df.agg(F.count("*").alias("rows"), *gaps).select(
         F.lit(source).alias("dataset_path"),
         "rows",
         F.lit(len(df.columns)).alias("columns"),
         F.array(*[F.lit(c) for c in df.columns]).alias("column_names"),
         F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair]).alias("dtypes"),
         duplicate_rows(df).scalar().alias("duplicated_rows"),
-        nulls.where(F.col("nulls") > 0).agg(F.count("*")).scalar().alias("columns_with_nulls"),
-        F.coalesce(nulls.agg(F.sum("nulls")).scalar(), F.lit(0)).alias("total_null_values"),
+        sum(((n > 0).cast("long") for n in counts), F.lit(0)).alias("columns_with_nulls"),
+        sum(counts, F.lit(0)).alias("total_null_values"),
         F.lit(target).alias("target"),
         as_map(value_counts(df, target)).alias("target_distribution"),
         as_map(value_counts(df, month)).alias("mes_distribution"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from offerlens.queries import profile
+from offerlens.queries import evaluation, features, profile, sampling
 
-_MODULES = (profile,)
+_MODULES = (profile, features, sampling, evaluation)
 
 QUERIES = {name: run for module in _MODULES for name, run in module.QUERIES.items()}
 ORACLES = {name: sql for module in _MODULES for name, sql in module.ORACLES.items()}
