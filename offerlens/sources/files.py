@@ -105,9 +105,19 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def artifact_manifest(spark: SparkSession, path: str, wanted: Iterable[str]) -> DataFrame:
-    """The wanted files that exist under ``path``; files that are missing are left out."""
-    files = file_manifest(spark, path).withColumn("name", F.element_at(F.split("path", "/"), -1))
-    return files.where(F.col("name").isin(*wanted)).select("name", "path", "length", "md5")
+    """Files, bytes and digest of the wanted artifacts that exist under ``path``.
+
+    An artifact is an entry of the folder: a file, or what Spark writes, a folder
+    of files. Its digest is the order-free sum of 60 bits of each file's MD5.
+    Artifacts that are missing are left out.
+    """
+    name = F.substring_index(F.substring_index("path", f"{path.rstrip('/')}/", -1), "/", 1)
+    bits = F.conv(F.substring("md5", 1, 15), 16, 10).cast("decimal(20,0)")
+    return (
+        file_manifest(spark, path).withColumn("name", name).where(F.col("name").isin(*wanted))
+        .groupBy("name").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"),
+                             F.sum(bits).cast("string").alias("digest"))
+    )
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
