@@ -97,7 +97,7 @@ def _fingerprint_sql() -> str:
         "l_shipdate": "i",
     }
     texts = ", ".join(
-        f"coalesce(CAST({f'CAST(round({c} * 1000000) AS HUGEINT)' if k == 'd' else c} AS VARCHAR), '∅')"
+        f"coalesce(CAST({f'CAST(round_even({c} * 1000000, 0) AS BIGINT)' if k == 'd' else c} AS VARCHAR), '∅')"
         for c, k in kinds.items()
     )
     return f"""

@@ -131,7 +131,8 @@ def table_fingerprint(df: DataFrame) -> DataFrame:
     for field in df.schema.fields:
         value = col(field.name)
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            value = F.round(value * 1_000_000).cast("decimal(38,0)")
+            small = F.abs(value) < 9e12
+            value = F.when(small, F.rint(value * 1_000_000).cast("bigint").cast("string")).otherwise(value.cast("string"))
         texts.append(F.coalesce(value.cast("string"), F.lit("∅")))
     digest = F.md5(F.concat_ws("|", *texts))
     bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
