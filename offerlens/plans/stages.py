@@ -213,7 +213,7 @@ def register(spark: SparkSession, run: str, ledger: str, name: str = REGISTERED_
     facts_row = spark.range(1).select(F.lit(run_id).alias("run_id"), *pairs, params.alias("params"))
     L.append_run(L.ledger_metrics(table).withColumn("run_id", F.lit(run_id)), _at(ledger, "metrics"))
     L.append_run(L.ledger_params(facts_row, ["run_id"]), _at(ledger, "params"))
-    L.append_run(files.artifact_manifest(spark, run, ARTIFACTS).withColumn("run_id", F.lit(run_id)), _at(ledger, "artifacts"))
+    L.append_run(files.artifact_manifest(spark, run, ARTIFACTS, digest=False).withColumn("run_id", F.lit(run_id)), _at(ledger, "artifacts"))
     L.append_run(row, _at(ledger, "runs"))
     return spark.read.parquet(_at(ledger, "runs")).where(F.col("run_id") == run_id)
 

@@ -121,6 +121,6 @@ UNION ALL SELECT 'total', "FLAG_VENTA", count(*) FROM split GROUP BY 2""", _RANK
 FROM split WHERE split = 'test' GROUP BY 1, 2""", _RANKED),
     "class_weights": over_panel("""SELECT "FLAG_VENTA" AS class, round((SELECT count(*) FROM panel)
  / (CAST((SELECT count(DISTINCT "FLAG_VENTA") FROM panel) AS DOUBLE) * count(*)), 6) AS weight FROM panel GROUP BY 1"""),
-    "smote_neighbours": over_panel("SELECT key, place, neighbour, round(distance, 6) AS distance FROM near", _NEIGHBOURS),
+    "smote_neighbours": over_panel("SELECT key, CAST(place AS INTEGER) AS place, neighbour, round(distance, 6) AS distance FROM near", _NEIGHBOURS),
     "smote_rows": _SMOTE_SQL,
 }

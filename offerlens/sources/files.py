@@ -104,20 +104,22 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def artifact_manifest(spark: SparkSession, path: str, wanted: Iterable[str]) -> DataFrame:
+def artifact_manifest(spark: SparkSession, path: str, wanted: Iterable[str], digest: bool = True) -> DataFrame:
     """Files, bytes and digest of the wanted artifacts that exist under ``path``.
 
     An artifact is an entry of the folder: a file, or what Spark writes, a folder
-    of files. Its digest is the order-free sum of 60 bits of each file's MD5.
-    Artifacts that are missing are left out.
+    of files. Its digest is the order-free sum of 60 bits of each file's MD5;
+    without it no content is read, which suits large tables. Artifacts that are
+    missing are left out.
     """
     name = F.substring_index(F.substring_index("path", f"{path.rstrip('/')}/", -1), "/", 1)
-    bits = F.conv(F.substring("md5", 1, 15), 16, 10).cast("decimal(20,0)")
-    return (
-        file_manifest(spark, path).withColumn("name", name).where(F.col("name").isin(*wanted))
-        .groupBy("name").agg(F.count("*").alias("files"), F.sum("length").alias("bytes"),
-                             F.sum(bits).cast("string").alias("digest"))
-    )
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    found = listed.withColumn("name", name).where(F.col("name").isin(*wanted)).groupBy("name")
+    facts = [F.count("*").alias("files"), F.sum("length").alias("bytes")]
+    if digest:
+        bits = F.conv(F.substring(F.md5("content"), 1, 15), 16, 10).cast("decimal(20,0)")
+        facts.append(F.sum(bits).cast("string").alias("digest"))
+    return found.agg(*facts)
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
