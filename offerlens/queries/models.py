@@ -16,7 +16,10 @@ from offerlens.operators.oversample import as_points
 from offerlens.operators.split import split_distribution
 from offerlens.plans import reports as R
 from offerlens.plans import train as T
-from offerlens.queries.inputs import KEY, feature_split, once
+from offerlens.queries.features import ALL_LOGGED, FEATURE_CTE, FEATURES
+from offerlens.queries.inputs import KEY, feature_split, once, rounded
+from offerlens.queries.panel_sql import over_panel
+from offerlens.queries.sampling import SPLIT_CTES
 from offerlens.session import new_path, stage
 
 TREE = ("decision_tree", {"criterion": "entropy", "max_depth": 6, "min_samples_split": 2})
@@ -115,7 +118,13 @@ def signature_check(spark, folder) -> DataFrame:
 
 def input_example(spark, folder) -> DataFrame:
     """The first five test rows by key: the example stored with a model (a top-k report)."""
-    return feature_split(spark, folder).where(F.col("split") == "test").orderBy(MONTH, CUSTOMER).limit(5)
+    return rounded(feature_split(spark, folder).where(F.col("split") == "test").orderBy(MONTH, CUSTOMER).limit(5))
+
+
+INPUT_EXAMPLE_SQL = over_panel("SELECT " + ", ".join(
+    f'round("{c}", 6) AS "{c}"' if ALL_LOGGED.get(c) == "double" else f'"{c}"' for c in ("CLIENTE", *FEATURES)
+) + """, split FROM features JOIN (SELECT "MES", "CLIENTE", split FROM split) USING ("MES", "CLIENTE")
+WHERE split = 'test' ORDER BY "MES", "CLIENTE" LIMIT 5""", FEATURE_CTE + ", " + SPLIT_CTES)
 
 
 def training_record(spark, folder) -> DataFrame:
@@ -151,6 +160,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "input_example": INPUT_EXAMPLE_SQL,
     "signature_check": """SELECT * FROM (VALUES ('no_missing_features', false, 'EDAD'), ('no_extra_features', false, 'EXTRA'))
 AS t("check", passed, detail)""",
 }

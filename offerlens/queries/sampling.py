@@ -23,7 +23,7 @@ def points(spark, folder) -> DataFrame:
         O.as_points(panel(spark, folder), KEY, POINT_FEATURES, TARGET), "points"))
 
 
-_RANKED = f"""
+SPLIT_CTES = f"""
 counts AS (SELECT "FLAG_VENTA" AS cls, count(*) AS n FROM panel GROUP BY 1),
 total AS (SELECT CAST(sum(n) AS BIGINT) AS n, CAST(sum(n) - ceil(sum(n) * CAST({TEST_SIZE} AS DOUBLE)) AS BIGINT) AS n_train FROM counts),
 floors AS (SELECT cls, c.n, c.n * n_train // t.n AS base, c.n * n_train % t.n AS rest, n_train FROM counts c, total t),
@@ -112,13 +112,13 @@ QUERIES = {
 }
 
 ORACLES = {
-    "stratified_split": over_panel('SELECT "MES", "CLIENTE", "FLAG_VENTA", split FROM split', _RANKED),
+    "stratified_split": over_panel('SELECT "MES", "CLIENTE", "FLAG_VENTA", split FROM split', SPLIT_CTES),
     "split_distribution": over_panel("""
 SELECT split, "FLAG_VENTA" AS class, count(*) AS count FROM split GROUP BY 1, 2
-UNION ALL SELECT 'total', "FLAG_VENTA", count(*) FROM split GROUP BY 2""", _RANKED),
+UNION ALL SELECT 'total', "FLAG_VENTA", count(*) FROM split GROUP BY 2""", SPLIT_CTES),
     "stratified_folds": _FOLDS_SQL,
     "split_roundtrip": over_panel("""SELECT "MES", "FLAG_VENTA", count(*) AS "rows", CAST(sum("CLIENTE") AS BIGINT) AS keys
-FROM split WHERE split = 'test' GROUP BY 1, 2""", _RANKED),
+FROM split WHERE split = 'test' GROUP BY 1, 2""", SPLIT_CTES),
     "class_weights": over_panel("""SELECT "FLAG_VENTA" AS class, round((SELECT count(*) FROM panel)
  / (CAST((SELECT count(DISTINCT "FLAG_VENTA") FROM panel) AS DOUBLE) * count(*)), 6) AS weight FROM panel GROUP BY 1"""),
     "smote_neighbours": over_panel("SELECT key, CAST(place AS INTEGER) AS place, neighbour, round(distance, 6) AS distance FROM near", _NEIGHBOURS),
