@@ -11,6 +11,7 @@ from offerlens.contract import MONTH, TARGET
 from offerlens.functions.scalars import col
 from offerlens.operators.columns import numeric_columns, present, text_columns
 from offerlens.operators.quantiles import exact_quantiles
+from offerlens.session import stage
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -96,11 +97,12 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
     Only rows whose 64-bit hash occurs more than once can be duplicates. So the
     wide rows that reach the exact comparison are the suspects alone, and the
-    first shuffle moves eight bytes per row.
+    first shuffle moves eight bytes per row. The suspects are staged, so their
+    size is known when the join is planned: a short list filters the scan.
     """
     hashed = df.withColumn("row_hash", F.xxhash64(*[col(c) for c in df.columns]))
-    suspects = (
-        hashed.groupBy("row_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("row_hash")
+    suspects = stage(
+        hashed.groupBy("row_hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("row_hash"), "suspects"
     )
     groups = (
         hashed.join(suspects, "row_hash", "left_semi")

@@ -67,45 +67,53 @@ def orders_by_month(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_panel(spark: SparkSession, folder: str) -> DataFrame:
-    """Build the panel. At most 33 order months per customer reach the second shuffle."""
+    """Build the panel.
+
+    At most 33 order months per customer reach the second shuffle, and the nine
+    panel months unfold only after the join, so they are never shuffled.
+    """
     age = F.col("month") - F.col("ordered")
 
     def total(name: str, first: int, last: int | None = None) -> Column:
         inside = age >= first if last is None else age.between(first, last)
         return F.sum(F.when(inside, F.col(name)))
 
+    measures = {
+        "bought": total("orders", 0, 0),
+        "cents": total("cents", 1),
+        "orders": total("orders", 1),
+        "cents_24": total("cents", 1, 24),
+        "cents_6": total("cents", 1, 6),
+        "orders_6": total("orders", 1, 6),
+        "orders_7_12": total("orders", 7, 12),
+        "lines_12": total("lines", 1, 12),
+        "discount_12": total("discount", 1, 12),
+        "tax_12": total("tax", 1, 12),
+        "quantity_12": total("quantity", 1, 12),
+        "last_order_age": F.min(F.when(age >= 1, age)),
+        "first_order_age": F.max(F.when(age >= 1, age)),
+    }
+    entry = F.struct(F.col("month"), F.struct(*measures).alias("measures"))
     history = (
         orders_by_month(spark, folder)
         .repartition("CLIENTE")
         .withColumn("month", F.explode(F.sequence(F.greatest(F.col("ordered"), F.lit(FIRST)), F.lit(LAST))))
-        .groupBy("CLIENTE", "month")
-        .agg(
-            total("orders", 0, 0).alias("bought"),
-            total("cents", 1).alias("cents"),
-            total("orders", 1).alias("orders"),
-            total("cents", 1, 24).alias("cents_24"),
-            total("cents", 1, 6).alias("cents_6"),
-            total("orders", 1, 6).alias("orders_6"),
-            total("orders", 7, 12).alias("orders_7_12"),
-            total("lines", 1, 12).alias("lines_12"),
-            total("discount", 1, 12).alias("discount_12"),
-            total("tax", 1, 12).alias("tax_12"),
-            total("quantity", 1, 12).alias("quantity_12"),
-            F.min(F.when(age >= 1, age)).alias("last_order_age"),
-            F.max(F.when(age >= 1, age)).alias("first_order_age"),
-        )
+        .groupBy("CLIENTE", "month").agg(*[value.alias(name) for name, value in measures.items()])
+        .groupBy("CLIENTE").agg(F.map_from_entries(F.collect_list(entry)).alias("history"))
     )
     places = (
         read_table(spark, folder, "nation")
         .join(read_table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("n_nationkey", "r_name")
     )
-    customers = (
+    months = (
         read_table(spark, folder, "customer")
-        .select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
+        .select(F.col("c_custkey").alias("CLIENTE"), "c_nationkey", "c_acctbal", "c_mktsegment")
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(history, "CLIENTE", "left")
         .withColumn("month", F.explode(F.sequence(F.lit(FIRST), F.lit(LAST))))
-        .withColumnRenamed("c_custkey", "CLIENTE")
+        .withColumn("measures", F.try_element_at("history", F.col("month")))
+        .select("CLIENTE", "month", "c_nationkey", "c_acctbal", "c_mktsegment", "r_name", "measures.*")
     )
     key = F.col("CLIENTE")
     money = F.coalesce(F.col("cents"), F.lit(0)).cast("double") / 100
@@ -140,7 +148,7 @@ def customer_panel(spark: SparkSession, folder: str) -> DataFrame:
         "CUBRIR_DEUDA_CONSUMO_SF_RENOVA_PLD":
             F.coalesce(F.col("quantity_12"), F.lit(0)).cast("double") / 100,
     }
-    return customers.join(history, ["CLIENTE", "month"], "left").select(
+    return months.select(
         *[columns[name].cast(kind).alias(name) for name, kind in RAW_COLUMNS.items()]
     )
 
