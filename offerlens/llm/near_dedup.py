@@ -57,39 +57,17 @@ def probability_signature(doc: np.ndarray, element: np.ndarray, weight: np.ndarr
 
 
 def band_keys(texts: list[str], width: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places of texts with a word, their 64-bit band keys)."""
+    """(places of texts with a word, their 64-bit band keys). A shingle's weight is 1 + ln of its count."""
     doc, element = shingles(words(texts), width)
     doc, element, count = counted(doc, element)
     places, doc = np.unique(doc, return_inverse=True)
-    signature = probability_signature(doc, element, count.astype(np.float64), len(places), bands * rows)
+    signature = probability_signature(doc, element, 1.0 + np.log(count), len(places), bands * rows)
     keys = np.tile(np.arange(bands, dtype=U), (len(places), 1))
     for j in range(rows):
         keys = mix(keys + signature.reshape(len(places), bands, rows)[:, :, j])
     return places, keys.view(np.int64)
 
 
-def probability_jaccard(ax: np.ndarray, aw: np.ndarray, bx: np.ndarray, bw: np.ndarray) -> float:
-    """Exact probability Jaccard similarity of two weighted sets with sorted elements.
-
-    For an element of both with weight ratio r, all other elements count with
-    the first text's weight up to ratio r and with the second one's beyond, so
-    sorting by ratio gives every term from two running sums.
-    """
-    _, i, j = np.intersect1d(ax, bx, assume_unique=True, return_indices=True)
-    if not len(i):
-        return 0.0
-    if aw.max() == 1 and bw.max() == 1:
-        return len(i) / (len(ax) + len(bx) - len(i))
-    a, b = aw[i].astype(float), bw[j].astype(float)
-    order = np.argsort(b / a, kind="stable")
-    a, b = a[order], b[order]
-    ratio = b / a
-    upto = np.searchsorted(ratio, ratio, side="right")
-    low = aw.sum() - a.sum() + np.concatenate(([0.0], np.cumsum(a)))[upto]
-    high = bw.sum() - np.concatenate(([0.0], np.cumsum(b)))[upto]
-    return float((a / (low + high / ratio)).sum())
-
-
 def _banded(width: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,13 +89,12 @@ def _verified(width: int, threshold: float):
                 known: dict[str, int] = {}
                 pairs = [(known.setdefault(x, len(known)), known.setdefault(y, len(known)))
                          for x, y in zip(first[lo:hi], second[lo:hi])]
-                doc, element, count = counted(*shingles(words(list(known)), width))
+                doc, element, _ = counted(*shingles(words(list(known)), width))
                 limit = np.searchsorted(doc, np.arange(len(known) + 1))
                 for k, (x, y) in enumerate(pairs):
-                    x, y = slice(limit[x], limit[x + 1]), slice(limit[y], limit[y + 1])
-                    small, large = sorted((x.stop - x.start, y.stop - y.start))
-                    similar[lo + k] = small > 0 and probability_jaccard(
-                        element[x], count[x], element[y], count[y]) >= threshold - 1e-9
+                    x, y = element[limit[x]:limit[x + 1]], element[limit[y]:limit[y + 1]]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    similar[lo + k] = both >= threshold * (len(x) + len(y) - both) - 1e-9
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(similar))
 
@@ -129,17 +106,26 @@ def near_links(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD
     """(node, root): text keys of texts that have a near duplicate, with the smallest key of their class.
 
     Copies collapse to one text key first. Texts that share a band are
-    candidates. Pairs within a band are not all formed: every text is checked
-    against the smallest text it meets, then against the smallest of each of
-    its bands, and what is then still apart is compared fully, but only across
-    classes. Two texts of one class need no further check, so no link between
-    classes is lost and the work stays linear in the size of a group of copies.
+    candidates, and verification takes the exact Jaccard similarity of their
+    sets of shingles. (It equals the probability Jaccard similarity where no
+    shingle repeats. Where one does, a line that many texts repeat must not
+    make them alike.) Pairs within a band are not all formed. The text that meets
+    the most others is the centre of its bands: edited copies resemble their
+    original more than each other, and the original meets most. Every text is
+    checked against the most central text it meets, then against the centre of each
+    of its bands, and what is then still apart is compared fully, but only
+    across classes. Two texts of one class need no further check, so no link
+    between classes is lost, and a group of copies costs a check per copy and band.
     """
     plain = id_and_text(docs).where(F.col("text").rlike(HAS_WORD)).select(text_key().alias("t"), "text")
     banded = plain.mapInArrow(_banded(width, bands, rows), "band long, t binary").distinct()
     banded = stage(banded, "bands")
-    shared = banded.groupBy("band").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low != high")
-    met = stage(banded.join(shared.select("band", "low"), "band"), "met")
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stage(banded.join(sizes, "band"), "shared")
+    company = shared.groupBy("t").agg(F.sum("n").alias("company"))
+    ranked = stage(shared.join(company, "t").select("band", "t", F.struct("company", "t").alias("rank")), "ranked")
+    centres = ranked.groupBy("band").agg(F.max("rank").alias("centre"))
+    met = stage(ranked.select("band", "t").join(centres, "band"), "met")
     texts = stage(plain.join(met.select("t").distinct(), "t", "left_semi").dropDuplicates(["t"]), "met-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -147,8 +133,9 @@ def near_links(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD
                  .join(texts.select(F.col("t").alias("b"), F.col("text").alias("b_text")), "b"))
         return stage(sides.mapInArrow(_verified(width, threshold), "a binary, b binary"), "links")
 
-    links = verified(met.groupBy("t").agg(F.min("low").alias("b")).where("t != b").select(F.col("t").alias("a"), "b"))
-    for pairs_of in (_with_smallest, _across):
+    nearest = met.groupBy("t").agg(F.max("centre").alias("centre")).select(F.col("t").alias("a"), F.col("centre.t").alias("b"))
+    links = verified(nearest.where("a != b"))
+    for pairs_of in (_with_centre, _across):
         members = stage(_labelled(met, stage(components(links), "classes")), "members")
         links = links.union(verified(pairs_of(members)))
     return stage(components(links), "classes")
@@ -157,14 +144,14 @@ def near_links(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD
 def _labelled(met: DataFrame, classes: DataFrame) -> DataFrame:
     """Members of bands that still hold texts of several classes."""
     members = met.join(classes.withColumnRenamed("node", "t"), "t", "left").select(
-        "band", "t", "low", F.coalesce("root", "t").alias("root"))
+        "band", "t", F.col("centre.t").alias("centre"), F.coalesce("root", "t").alias("root"))
     split = members.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
     return members.join(split.select("band"), "band", "left_semi")
 
 
-def _with_smallest(members: DataFrame) -> DataFrame:
-    smallest = members.where("t = low").select("band", F.col("root").alias("low_root"))
-    return members.join(smallest, "band").where("root != low_root").select(F.col("t").alias("a"), F.col("low").alias("b"))
+def _with_centre(members: DataFrame) -> DataFrame:
+    centres = members.where("t = centre").select("band", F.col("root").alias("centre_root"))
+    return members.join(centres, "band").where("root != centre_root").select(F.col("t").alias("a"), F.col("centre").alias("b"))
 
 
 def _across(members: DataFrame) -> DataFrame:
@@ -181,8 +168,8 @@ def duplicate_classes(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, class_id, copies (rows of its class).
 
     class_id is the smallest doc_id of the class. Classes are the connected
-    sets of texts with a probability Jaccard similarity of the threshold or
-    more (shingles of five words weighted by their counts), copies included.
+    sets of texts whose sets of five-word shingles have a Jaccard similarity
+    of the threshold or more, copies included.
     A text without a letter or digit (NULL and empty included) has no
     shingles and is a class of its own. A text of under five words is one
     shingle. Rows with a NULL id take part; repeated rows count as copies.

@@ -10,7 +10,7 @@ import numpy as np
 
 U = np.uint64
 _BASE, _STEP = U(0x9E3779B97F4A7C15), U(0xD1342543DE82EF95)
-CHARS = 1 << 20
+CHARS = 1 << 19
 
 
 def worker_state() -> dict:
