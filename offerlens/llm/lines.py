@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.llm.common import id_and_text, slices, text_key
+from offerlens.llm.prefix import may_match, prefixes, rarity
 from offerlens.llm.words import CHARS, U, counted, mix, words
 from offerlens.session import stage
 
 THRESHOLD = 0.8
-RARITY_BUCKETS = 1 << 16
 
 
 def _token_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -29,23 +29,7 @@ def _token_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return owner[used], number[used], np.append(first, len(line)), token
 
 
-def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(RARITY_BUCKETS, np.int64)
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for lo, hi in slices(texts, CHARS):
-            total += np.bincount((words(texts[lo:hi]).hashes & U(RARITY_BUCKETS - 1)).astype(np.int64), minlength=RARITY_BUCKETS)
-    at = np.flatnonzero(total)
-    if len(at):
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
-
-
-def _least_overlap(threshold: float, a, b):
-    """Common words that two sets of sizes a and b need."""
-    return np.ceil(threshold / (1 + threshold) * (a + b) - 1e-9)
-
-
-def _prefixes(rarity: np.ndarray, threshold: float):
+def _prefixes(counts: np.ndarray, threshold: float):
     """Rows (line key, size, doc order columns, prefix words with their positions) of every line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,16 +39,10 @@ def _prefixes(rarity: np.ndarray, threshold: float):
                 size = np.diff(limit)
                 if not len(size):
                     continue
-                line = np.repeat(np.arange(len(size)), size)
-                order = np.lexsort((token, rarity[(token & U(RARITY_BUCKETS - 1)).astype(np.int64)], line))
-                token = token[order]
-                at = np.arange(len(token)) - np.repeat(limit[:-1], size)
-                length = (size - np.ceil(threshold * size - 1e-9) + 1).astype(np.int64)
-                in_prefix = at < np.repeat(length, size)
-                sums = np.add.reduceat(mix(token), limit[:-1])
-                key = mix(sums + size.astype(U))
+                key = mix(np.add.reduceat(mix(token), limit[:-1]) + size.astype(U))
+                rare, _, length = prefixes(token, limit, counts, threshold)
                 prefix = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(token[in_prefix].view(np.int64)))
+                    pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(rare.view(np.int64)))
                 rows = pa.array(owner + lo)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(rows), batch.column("t").take(rows), pa.array(number.astype(np.int32)),
@@ -119,10 +97,8 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataF
     near-equal lines costs one comparison per line and word.
     """
     plain = id_and_text(docs).where("text is not null").select("doc_id", text_key().alias("t"), "text")
-    counts = plain.select("text").mapInArrow(_count_tokens, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
-    rarity = np.zeros(RARITY_BUCKETS, np.int64)
-    rarity[counts["bucket"].to_numpy(int)] = counts["n"].to_numpy(int)
-    rows = stage(plain.mapInArrow(_prefixes(rarity, threshold), "doc_id long, t binary, line int, key long, size int, prefix array<long>"), "lines")
+    counts = rarity(plain, lambda texts: words(texts).hashes)
+    rows = stage(plain.mapInArrow(_prefixes(counts, threshold), "doc_id long, t binary, line int, key long, size int, prefix array<long>"), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "t", "line")
     sets = rows.groupBy("key").agg(F.min(place).alias("place"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     postings = stage(sets.where("size > 3").select("key", "place", "size", F.posexplode("prefix").alias("at", "word")), "postings")
@@ -136,7 +112,7 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataF
     texts = stage(plain.select("t", "text").join(wanted, "t").dropDuplicates(["t"]).mapInArrow(_texts_of_lines, "key long, text string"), "line-texts")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.where(_may_match(threshold)).select("later", "earlier").distinct()
+        pairs = pairs.where(may_match(threshold, "ls", "es", "la", "ea")).select("later", "earlier").distinct()
         sides = (pairs.join(texts.select(F.col("key").alias("later"), F.col("text").alias("a_text")), "later")
                  .join(texts.select(F.col("key").alias("earlier"), F.col("text").alias("b_text")), "earlier"))
         return stage(sides.mapInArrow(_similar(threshold), "later long, earlier long"), "line-links")
@@ -150,15 +126,6 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataF
     return rows.drop("prefix"), settled.unionByName(verified(pairs))
 
 
-def _may_match(threshold: float):
-    """Length filter, and positional filter: common words so far plus the fewer of those left must reach the least overlap."""
-    t = F.lit(threshold)
-    need = F.ceil(t / (t + 1) * (F.col("ls") + F.col("es")) - 1e-9)
-    left = F.least(F.col("ls") - F.col("la"), F.col("es") - F.col("ea"))
-    fewer = F.least(F.col("la"), F.col("ea"))
-    return (F.least("ls", "es") >= t * F.greatest("ls", "es") - 1e-9) & (left + fewer >= need)
-
-
 def without_repeats(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, lines (with a word), removed (numbers of the lines to remove, from 0, ascending).
 

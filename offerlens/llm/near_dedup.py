@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from offerlens.llm.common import fresh, id_and_text, name, slices, text_key
 from offerlens.llm.components import components
+from offerlens.llm.prefix import may_match, prefixes, rarity
 from offerlens.llm.words import CHARS, U, counted, mix, shingles, words
 from offerlens.session import stage
 
@@ -113,9 +114,12 @@ def near_links(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD
     the most others is the centre of its bands: edited copies resemble their
     original more than each other, and the original meets most. Every text is
     checked against the most central text it meets, then against the centre of each
-    of its bands, and what is then still apart is compared fully, but only
-    across classes. Two texts of one class need no further check, so no link
-    between classes is lost, and a group of copies costs a check per copy and band.
+    of its bands. Texts whose bands still hold several classes are joined
+    exactly: on their rarest shingles, of which two texts of the wanted
+    similarity share one, with positional and length filters, and only across
+    classes. Two texts of one class need no further check, so no link between
+    classes is lost, a group of copies costs a check per copy and band, and a
+    passage that many different texts share makes no pairs.
     """
     plain = id_and_text(docs).where(F.col("text").rlike(HAS_WORD)).select(text_key().alias("t"), "text")
     banded = plain.mapInArrow(_banded(width, bands, rows), "band long, t binary").distinct()
@@ -135,9 +139,13 @@ def near_links(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD
 
     nearest = met.groupBy("t").agg(F.max("centre").alias("centre")).select(F.col("t").alias("a"), F.col("centre.t").alias("b"))
     links = verified(nearest.where("a != b"))
-    for pairs_of in (_with_centre, _across):
-        members = stage(_labelled(met, stage(components(links), "classes")), "members")
-        links = links.union(verified(pairs_of(members)))
+    members = stage(_labelled(met, stage(components(links), "classes")), "members")
+    links = links.union(verified(_with_centre(members)))
+    members = _labelled(met, stage(components(links), "classes")).select("t", "root").distinct()
+    apart = stage(members.join(texts, "t"), "apart")
+    counts = rarity(apart, lambda rows: counted(*shingles(words(rows), width))[1])
+    rare = stage(apart.mapInArrow(_rare(width, threshold, counts), "element long, t binary, root binary, size int, at int"), "rare")
+    links = links.union(verified(_across(rare, threshold)))
     return stage(components(links), "classes")
 
 
@@ -154,14 +162,38 @@ def _with_centre(members: DataFrame) -> DataFrame:
     return members.join(centres, "band").where("root != centre_root").select(F.col("t").alias("a"), F.col("centre").alias("b"))
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """All pairs of different classes in a band: each text outside its largest class with every other."""
-    sizes = members.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    sided = members.join(main, "band").select("band", "t", "root", (F.col("root") == F.col("main")).alias("in_main"))
-    few = sided.where("not in_main").select("band", F.col("t").alias("a"), F.col("root").alias("a_root"))
-    every = sided.select("band", F.col("t").alias("b"), F.col("root").alias("b_root"), "in_main")
-    return few.join(every, "band").where("a_root != b_root and (in_main or a < b)").select("a", "b")
+def _rare(width: int, threshold: float, counts: np.ndarray):
+    """The rarest shingles of every text, as many as any text of its likeness must share one of."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for lo, hi in slices(texts, CHARS):
+                doc, element, _ = counted(*shingles(words(texts[lo:hi]), width))
+                limit = np.searchsorted(doc, np.arange(hi - lo + 1))
+                first, at, length = prefixes(element, limit, counts, threshold)
+                rows = np.repeat(np.arange(hi - lo), length)
+                owner = pa.array(rows + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first.view(np.int64)), batch.column("t").take(owner), batch.column("root").take(owner),
+                     pa.array(np.diff(limit)[rows].astype(np.int32)), pa.array(at.astype(np.int32))],
+                    ["element", "t", "root", "size", "at"])
+
+    return run
+
+
+def _across(rare: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of different classes that share a rare shingle and can reach the threshold.
+
+    Of each shingle's texts those outside its largest class meet every other.
+    """
+    sizes = rare.groupBy("element", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("element").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+    sided = rare.join(main.where("roots > 1"), "element").withColumn("in_main", F.col("root") == F.col("main"))
+    a = sided.where("not in_main").select("element", *[F.col(c).alias(f"a_{c}") for c in ("t", "root", "size", "at")])
+    b = sided.select("element", *[F.col(c).alias(f"b_{c}") for c in ("t", "root", "size", "at", "in_main")])
+    apart = F.expr("a_root != b_root and (b_in_main or a_t < b_t)")
+    return a.join(b, "element").where(apart & may_match(threshold, "a_size", "b_size", "a_at", "b_at")).select(
+        F.col("a_t").alias("a"), F.col("b_t").alias("b"))
 
 
 def duplicate_classes(docs: DataFrame, **options) -> DataFrame:
