@@ -55,12 +55,13 @@ def prefixes(element: np.ndarray, limit: np.ndarray, counts: np.ndarray, thresho
 
 
 def may_match(threshold: float, a_size: str, b_size: str, a_at: str, b_at: str) -> Column:
-    """Whether two sets can reach the threshold that share the elements at the given positions of their orders.
+    """Whether two sets can reach the threshold whose first shared element has the given positions in their orders.
 
-    The smaller must be large enough, and the elements before the shared one
-    and after it must leave room for the common elements that are needed.
+    The smaller must be large enough, and the shared element and those after
+    it must be enough for the common elements that are needed. A later shared
+    element may fail this; the pair's first one then decides.
     """
     t = F.lit(threshold)
     a, b, i, j = (F.col(c) for c in (a_size, b_size, a_at, b_at))
     need = F.ceil(t / (t + 1) * (a + b) - 1e-9)
-    return (F.least(a, b) >= t * F.greatest(a, b) - 1e-9) & (F.least(i, j) + F.least(a - i, b - j) >= need)
+    return (F.least(a, b) >= t * F.greatest(a, b) - 1e-9) & (F.least(a - i, b - j) >= need)
