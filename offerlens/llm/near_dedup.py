@@ -184,11 +184,20 @@ def _rare(width: int, threshold: float, counts: np.ndarray):
 def _across(rare: DataFrame, threshold: float) -> DataFrame:
     """Pairs of different classes that share a rare shingle and can reach the threshold.
 
-    Of each shingle's texts those outside its largest class meet every other.
+    Shingles of exactly the same texts (told by two XORs of the texts' hashes and their number) would make the
+    same pairs: only the first in the common order stays, which is the one
+    the positional filter needs. Of each shingle's texts those outside its
+    largest class meet every other.
     """
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "t"))
+    sets = rare.groupBy("element").agg(
+        F.count(F.lit(1)).alias("n"), mark(1).alias("x1"), mark(2).alias("x2"), F.sum("at").alias("place"),
+        F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1")
+    kept = sets.groupBy("n", "x1", "x2").agg(F.min_by("element", F.struct("place", "element")).alias("element")).select("element")
+    rare = stage(rare.join(kept, "element", "left_semi"), "rare-kept")
     sizes = rare.groupBy("element", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("element").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-    sided = rare.join(main.where("roots > 1"), "element").withColumn("in_main", F.col("root") == F.col("main"))
+    main = sizes.groupBy("element").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    sided = rare.join(main, "element").withColumn("in_main", F.col("root") == F.col("main"))
     a = sided.where("not in_main").select("element", *[F.col(c).alias(f"a_{c}") for c in ("t", "root", "size", "at")])
     b = sided.select("element", *[F.col(c).alias(f"b_{c}") for c in ("t", "root", "size", "at", "in_main")])
     apart = F.expr("a_root != b_root and (b_in_main or a_t < b_t)")
