@@ -109,28 +109,32 @@ def descend(rows: list[tuple[int, np.ndarray, np.ndarray]], weight: np.ndarray,
     return embedding, output, bias
 
 
-def fit(labelled: DataFrame, per_class: int = PER_CLASS, seed: int = SEED) -> QualityModel:
-    """Fit on ``labelled`` (text, label 0 or 1); rows with a NULL are left out.
-
-    The sample has about ``per_class`` documents of each class (all, where
-    there are fewer), chosen by a seeded hash of the text; only their sparse
-    feature counts, of ``BUCKETS`` entries at most, reach the driver. Classes
-    weigh in the loss as they do in the table. Without rows of both classes the score
-    is the share of label 1, a half without any row.
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: int = SEED) -> QualityModel:
+    """Fit on ``labels`` (doc_id, label 0 or 1; one row per id) and the texts of ``docs``; NULL texts are left out.
+
+    The sample has about ``per_class`` labels of each class (all, where
+    there are fewer), chosen by a seeded hash of the id. That bounds what is
+    broadcast to find the texts, whose sparse feature counts, of ``BUCKETS``
+    entries at most, reach the driver. Classes weigh in the loss as they do in
+    the table. Without labels of both classes the score leans fully to the only
+    one, and is a half without any.
     """
-    rows = labelled.dropna().where("label in (0, 1)").select("text", F.col("label").cast("int").alias("label"))
+    rows = labels.dropna().where("label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         share = 0.5 if not counts else 0.999 if 1 in counts else 0.001
         return QualityModel(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_class / n))])
-    draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 40)) / float(1 << 40)
-    sample = rows.where(draw < F.element_at(shares, F.col("label"))).mapInArrow(
-        _counts, "label int, at array<int>, share array<float>").toArrow()
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
+    sample = F.broadcast(rows.where(draw < F.element_at(shares, F.col("label"))))
+    sample = (id_and_text(docs).where("text is not null").join(sample, "doc_id").select("text", "label")
+              .mapInArrow(_counts, "label int, at array<int>, share array<float>").toArrow())
     data = [(k.as_py(), a.values.to_numpy(), np.asarray(s.values.to_numpy(), float))
             for k, a, s in zip(sample["label"], sample["at"], sample["share"])]
     data.sort(key=lambda row: (row[0], len(row[1]), row[1].sum()))
     taken = np.bincount([k for k, _, _ in data], minlength=2)
+    if not len(data):
+        return QualityModel(np.zeros(BUCKETS, np.float32), 0.0)
     weight = np.array([counts[k] / max(1, taken[k]) for k in (0, 1)], float)
     embedding, output, bias = descend(data, weight / (weight @ taken) * taken.sum(), seed=seed)
     return QualityModel((embedding @ (output[:, 1] - output[:, 0])).astype(np.float32), float(bias[1] - bias[0]))
@@ -166,8 +170,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(checksum(doc_id, 4) == 2, F.lit(False))
 
 
-def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text and label of labelled documents that may be learned from; ids with conflicting labels are left out."""
-    sure = labels.select(name("doc_id").cast("long").alias("doc_id"), name("quality").cast("int").alias("label")).dropna().where(
-        checksum(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("high")).where("label = high")
-    return id_and_text(docs).where("text is not null").join(sure.drop("high"), "doc_id").select("text", "label")
+def learnable(labels: DataFrame) -> DataFrame:
+    """(doc_id, label) of labels that may be learned from; ids with conflicting labels are left out."""
+    rows = labels.select(name("doc_id").cast("long").alias("doc_id"), name("quality").cast("int").alias("label")).dropna()
+    return rows.where(checksum(F.col("doc_id"), 4) != 2).groupBy("doc_id").agg(
+        F.min("label").alias("label"), F.max("label").alias("high")).where("label = high").drop("high")

@@ -68,7 +68,7 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
-    return quality.predict(docs, quality.fit(quality.learnable(docs, _table(spark, folder, "labels"))))
+    return quality.predict(docs, quality.fit(docs, quality.learnable(_table(spark, folder, "labels"))))
 
 
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
