@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,41 +20,86 @@ from offerlens.session import stage
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
-CACHED = 600_000  # words a worker remembers before it starts anew
+CACHED = 250_000  # words a worker remembers before those not met again since are forgotten
 END = 2
 
-# A blank between two characters that are not white space starts a piece of its own in the
-# tokenizer's split, so the parts on both sides are encoded alike alone and together.
-_ODD = re.compile(r"\s | \s|^ | $")
+# A blank or line feed between two characters that are not white space starts a piece of its own in
+# the tokenizer's split, so the parts around it are encoded alike alone and together. A part that
+# begins without a blank is marked.
+_BARE = "\x01"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
-def _tokenizer(path: str):
+def _tokenizer(path: str) -> dict:
+    """The worker's tokenizer, its ids that begin with a blank, and the words it remembers."""
     state = worker_state()
     if path not in state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        state[path] = Tokenizer.from_file(path)
-        state[path].encode_special_tokens = True  # their strings in a text are ordinary text
-    return state[path], state.setdefault("words:" + path, {})
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        blank = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+        blank[[i for token, i in tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
+        state[path] = {"tokenizer": tokenizer, "blank": blank, "known": {}, "older": {}}
+    return state[path]
+
+
+def _ids(tokenizer, texts: list[str]) -> list[bytes]:
+    return [array("i", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _ids_of_words(tokenizer, blank: np.ndarray, words: list[str], at_once: int = 2000) -> list[bytes]:
+    """Ids of words with a blank before each: encoded in a row and cut where an id begins with a blank."""
+    out = []
+    for rows, group in zip(_ids(tokenizer, ["".join([" " + w for w in words[i:i + at_once]]) for i in range(0, len(words), at_once)]),
+                           range(0, len(words), at_once)):
+        cuts = (np.flatnonzero(blank[np.frombuffer(rows, "<i4")]) * 4).tolist() + [len(rows)]
+        assert len(cuts) - 1 == len(words[group:group + at_once])
+        out += [rows[a:b] for a, b in zip(cuts, cuts[1:])]
+    return out
 
 
 def encode(texts: list[str], tokenizer_path: str) -> list[bytes]:
-    """Ids of whole texts as little-endian 32-bit numbers, equal to the tokenizer's own for each text."""
-    tokenizer, known = _tokenizer(tokenizer_path)
-    cut = [_CUT.split(t) if _ODD.search(t) else t.split(" ") for t in texts]
-    heads = [parts[0] for parts in cut]
-    wanted = set().union(*cut).difference(known)
-    if len(known) + len(wanted) > CACHED:
-        known.clear()
-        wanted = set().union(*cut)
-    missing = list(wanted)
-    numbers = lambda e: np.array(e.ids, "<i4").tobytes()
-    for word, e in zip(missing, tokenizer.encode_batch_fast([" " + w for w in missing], add_special_tokens=False)):
-        known[word] = numbers(e)
-    first = [numbers(e) for e in tokenizer.encode_batch_fast(heads, add_special_tokens=False)]
-    return [head + b"".join(map(known.__getitem__, parts[1:])) for head, parts in zip(first, cut)]
+    """Ids of whole texts as little-endian 32-bit numbers, equal to the tokenizer's own for each text.
+
+    Every distinct word is encoded by the tokenizer once, as long as the
+    worker remembers it; a text's ids are those of its words in a row.
+    """
+    state = _tokenizer(tokenizer_path)
+    tokenizer, known, older = state["tokenizer"], state["known"], state["older"]
+    cut = [(_BARE + t).replace("\n", f" {_BARE}\n {_BARE}").split(" ") for t in texts]
+    missing = set().union(*cut).difference(known)
+    line = _BARE + "\n"
+    # Parts that are empty or touch other white space: such texts are cut with care, and those parts not remembered.
+    odd = {w for w in missing if w != line and (w in ("", _BARE) or w[1 if w[0] == _BARE else 0].isspace() or w[-1].isspace()
+                                                or _BARE in w[1:])}
+    passing: dict[str, bytes] = {}
+    if odd:
+        slow = [k for k, parts in enumerate(cut) if not odd.isdisjoint(parts)]
+        for k in slow:
+            first, *rest = _CUT.split(texts[k])
+            cut[k] = [("head", first), *[("word", w) for w in rest]]
+        special = list({p for k in slow for p in cut[k]})
+        passing = dict(zip(special, _ids(tokenizer, [w if kind == "head" else " " + w for kind, w in special])))
+        missing = set().union(*(parts for k, parts in enumerate(cut) if parts and isinstance(parts[0], str))).difference(known)
+    for w in [w for w in missing if w in older]:
+        known[w] = older[w]
+        missing.discard(w)
+    # A full stop or comma after a letter is a piece of its own.
+    stopped = {w: w[:-1] for w in missing if w[-1] in ".," and w[-2:-1].isalpha()}
+    bases = {b for b in stopped.values() if b not in known}.union(w for w in missing if w not in stopped)
+    spaced, bare = [w for w in bases if w[0] != _BARE], [w for w in bases if w[0] == _BARE]
+    known.update(zip(spaced, _ids_of_words(tokenizer, state["blank"], spaced)))
+    known.update(zip(bare, _ids(tokenizer, [w[1:] for w in bare])))
+    marks = dict(zip(".,", _ids(tokenizer, [".", ","])))
+    found = {w: known[b] + marks[w[-1]] for w, b in stopped.items()}
+    known.update(found)
+    look = known.__getitem__
+    out = [b"".join(map(passing.__getitem__ if passing and isinstance(parts[0], tuple) else look, parts)) for parts in cut]
+    if len(known) > CACHED:
+        state["older"], state["known"] = known, {}
+    return out
 
 
 def _encoded(tokenizer_path: str, end: int):
