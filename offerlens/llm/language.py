@@ -196,7 +196,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
     """
     text = fresh(docs, "_text")
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
-    source = docs.select(*[name(c) for c in kept], F.when(name(text_column).rlike(HAS_LETTER), name(text_column)).alias(text))
+    plain = [f"_c{i}" for i in range(len(kept))]  # Arrow functions take no dots in names
+    source = docs.select(*[name(c).alias(p) for c, p in zip(kept, plain)], F.when(name(text_column).rlike(HAS_LETTER), name(text_column)).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,8 +212,8 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(languages), pa.array(scores)], names=[*batch.schema.names[:-1], "lang_pred", "score"])
 
-    schema = source.select(*[name(c) for c in kept]).schema.add("lang_pred", "string").add("score", "double")
-    return source.mapInArrow(run, schema)
+    schema = source.select(*plain).schema.add("lang_pred", "string").add("score", "double")
+    return source.mapInArrow(run, schema).select(*[name(p).alias(c) for c, p in zip(kept, plain)], "lang_pred", "score")
 
 
 def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
@@ -221,12 +222,11 @@ def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataF
     Texts without a letter go; with a model that knows no language everything
     goes but for an empty table. A column named lang_pred or score stays as it is.
     """
-    pred, score = fresh(docs, "_lang_pred"), fresh(docs, "_score")
-    names = [fresh(docs, f"_c{i}") for i in range(len(docs.columns))]
+    names = [f"_k{i}" for i in range(len(docs.columns))]
     renamed = docs.select(*[name(c).alias(n) for c, n in zip(docs.columns, names)])
     text = names[[c.lower() for c in docs.columns].index("text")]
-    found = predict(renamed, model, text).withColumnsRenamed({"lang_pred": pred, "score": score})
-    return found.where((name(pred) != UNKNOWN) & (name(score) >= least)).select(*[name(n).alias(c) for c, n in zip(docs.columns, names)])
+    found = predict(renamed, model, text).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return found.select(*[name(n).alias(c) for c, n in zip(docs.columns, names)])
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -56,8 +56,9 @@ def write_shards(docs: DataFrame, shards: int, path: str, seed: int = SEED, buck
     before = Window.orderBy(bucket, part).rowsBetween(Window.unboundedPreceding, -1)
     starts = stage(counts.select(bucket, part, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(first)), "starts")
     columns = [c for c in source.columns if c != salt]
+    plain = [f"c{i}" for i in range(len(columns))]  # Arrow functions take no dots in names
     placed = keyed.join(starts, [bucket, part]).select(
-        *[name(c) for c in columns], bucket, part, first, F.xxhash64(F.lit(seed), *[_hashable(source, c) for c in source.columns]).alias(order))
+        *[name(c).alias(p) for c, p in zip(columns, plain)], bucket, part, first, F.xxhash64(F.lit(seed), *[_hashable(source, c) for c in source.columns]).alias(order))
 
     def shuffled(group: pa.Table) -> pa.Table:
         group = group.take(pc.sort_indices(group, sort_keys=[(order, "ascending")]))
@@ -70,8 +71,9 @@ def write_shards(docs: DataFrame, shards: int, path: str, seed: int = SEED, buck
             [*group.select(range(at)).take(pa.array(swapped)).columns, pa.array(np.arange(start, start + group.num_rows))],
             names=[*group.column_names[:at], rank])
 
-    schema = source.select(*[name(c) for c in columns]).schema.add(rank, "long")
-    ranked = placed.groupBy(bucket, part).applyInArrow(shuffled, schema)
+    schema = placed.select(*plain).schema.add(rank, "long")
+    ranked = placed.groupBy(bucket, part).applyInArrow(shuffled, schema).select(
+        *[name(p).alias(c) for c, p in zip(columns, plain)], rank)
     shard = F.expr(f"`{rank}` * {shards} div {max(n, 1)}")
     out = ranked.withColumn("shard", shard.cast("int")).withColumn(
         "slot", name(rank) - F.expr(f"(shard * {n} + {shards - 1}) div {shards}")).drop(rank)
