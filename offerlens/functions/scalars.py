@@ -24,9 +24,13 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+# A cast alone would take Java's own spellings too, such as 12D, 5f or 0x1p3.
+DECIMAL_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)\s*$"
+
+
 def to_numeric(value: Column) -> Column:
-    """Number, or NULL where the text is no number. NaN counts as missing."""
-    return nan_to_null(value.try_cast("double"))
+    """Number, or NULL where the text is no decimal number. NaN counts as missing."""
+    return nan_to_null(F.when(value.cast("string").rlike(DECIMAL_TEXT), value.try_cast("double")))
 
 
 def floor_zero(value: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,7 +76,21 @@ def nan_as_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: nan_to_null(col(c)) for c in floating}) if floating else df
 
 
+def _nan_free(value: Column, kind: T.DataType) -> Column:
+    """``value`` with NULL for NaN at every depth of arrays, maps and structs."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return nan_to_null(value)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _nan_free(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: _nan_free(x, kind.valueType))
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[_nan_free(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(value.isNotNull(), inner)
+    return value
+
+
 def json_rows(df: DataFrame, name: str = "json") -> DataFrame:
-    """Each row as a JSON object in which missing numbers are ``null``."""
-    fields = F.struct(*[col(c) for c in df.columns])
-    return nan_as_null(df).select(F.to_json(fields, {"ignoreNullFields": "false"}).alias(name))
+    """Each row as a JSON object in which missing numbers are ``null``, nested ones included."""
+    fields = F.struct(*[_nan_free(col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
+    return df.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias(name))

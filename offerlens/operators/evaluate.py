@@ -136,14 +136,14 @@ def roc_curve(
     """Points (threshold, fpr, tpr) by falling threshold, starting at (0, 0).
 
     ``drop_intermediate`` leaves out points on a straight line between their
-    neighbours, as these do not change the curve.
+    neighbours, as these do not change the curve. The rate of a class without rows is NULL.
     """
     counts = stage(score_counts(scored), "scores")
     ranked = running_totals(counts, "score", ["pos", "neg"], (), rows_per_range)
     points = ranked.select(
         F.col("score").alias("threshold"),
-        ((F.col("above_neg") + F.col("neg")) / F.col("all_neg")).alias("fpr"),
-        ((F.col("above_pos") + F.col("pos")) / F.col("all_pos")).alias("tpr"),
+        F.try_divide(F.col("above_neg") + F.col("neg"), F.col("all_neg")).alias("fpr"),
+        F.try_divide(F.col("above_pos") + F.col("pos"), F.col("all_pos")).alias("tpr"),
         ((F.col("above_pos") + F.col("above_neg")) == 0).alias("is_first"),
         F.col("next_pos").isNull().alias("is_last"),
         ((F.col("pos") != F.col("next_pos")) | (F.col("neg") != F.col("next_neg"))).alias("bends"),

@@ -109,7 +109,7 @@ def roc_auc(spark, folder) -> DataFrame:
 
 
 def roc_curve(spark, folder) -> DataFrame:
-    return rounded(E.roc_curve(scored(spark, folder)).where(F.col("threshold") < float("inf")))
+    return rounded(E.roc_curve(scored(spark, folder)))
 
 
 ROC_SQL = over_scored("""
@@ -117,7 +117,8 @@ SELECT score AS threshold, round(upto_neg / CAST(all_neg AS DOUBLE), 6) AS fpr,
 FROM (SELECT *, sum(pos) OVER () AS all_pos, sum(neg) OVER () AS all_neg,
         row_number() OVER (ORDER BY score DESC) AS place, lead(pos) OVER (ORDER BY score DESC) AS next_pos,
         lead(neg) OVER (ORDER BY score DESC) AS next_neg FROM ranked)
-WHERE place = 1 OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg""", _auc_ctes("scored"))
+WHERE place = 1 OR next_pos IS NULL OR pos <> next_pos OR neg <> next_neg
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""", _auc_ctes("scored"))
 
 
 def classification_report(spark, folder) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerlens.contract import CSV_ENCODING, CSV_SEPARATOR
-from offerlens.functions.scalars import col, null_tokens
+from offerlens.functions.scalars import DECIMAL_TEXT, col, null_tokens
 from offerlens.operators.columns import clean_column_names, json_rows
 
 
@@ -50,7 +50,7 @@ def infer_types(table: DataFrame) -> dict[str, str]:
         """
         cell = col(name)
         whole = cell.rlike(r"^\s*[+-]?\d{1,19}\s*$") & cell.try_cast("bigint").isNotNull()
-        number = cell.rlike(r"^(?i)\s*[+-]?(\d|\.\d|inf|nan)") & cell.try_cast("double").isNotNull()
+        number = cell.rlike(DECIMAL_TEXT) & cell.try_cast("double").isNotNull()
         return F.when(cell.isNull(), 1).when(whole, 2).when(number, 4).otherwise(8)
 
     names = table.columns
