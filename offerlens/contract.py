@@ -94,7 +94,7 @@ class FeatureSpec:
         "Deuda_Cubierta%",
     )
     unknown_level: str = "DESCONOCIDO"
-    max_levels: int = 500
+    max_levels: int | None = None  # an optional check; no limit by default
 
     @property
     def numeric(self) -> list[str]:
@@ -136,21 +136,22 @@ class ModelSpec:
 # The candidate families and their grids. ``None`` depth = no limit.
 MODEL_SPECS = (
     ModelSpec("decision_tree", {
-        "criterion": ("gini", "entropy"),
         "max_depth": (4, 6, 8, None),
         "min_samples_split": (2, 10),
+        "criterion": ("gini", "entropy"),
     }),
     ModelSpec("random_forest", {
+        "n_estimators": (100, 200),
         "max_depth": (6, 10),
         "min_samples_split": (5,),
-        "n_estimators": (100, 200),
     }),
 )
 
 # The optional boosted family, off by default.
 BOOSTED_SPEC = ModelSpec("boosted_trees", {
-    "learning_rate": (0.05, 0.10),
-    "max_depth": (3, 5),
     "n_estimators": (200, 400),
+    "max_depth": (3, 5),
+    "learning_rate": (0.05, 0.10),
     "subsample": (0.8,),
+    "colsample_bytree": (0.8,),
 })

@@ -24,8 +24,11 @@ N_BINS = 30
 def score_counts(
     scored: DataFrame, groups: Sequence[str] = (), label: str = "label", score: str = "score"
 ) -> DataFrame:
-    """Positives and negatives per distinct score."""
-    return scored.groupBy(*groups, col(score).cast("double").alias("score")).agg(
+    """Positives and negatives per distinct score; a missing or infinite score is an error."""
+    value = col(score).cast("double")
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+    checked = F.when(finite, value).otherwise(F.raise_error("a score is missing or not finite").cast("double"))
+    return scored.groupBy(*groups, checked.alias("score")).agg(
         F.count_if(col(label) == 1).alias("pos"), F.count_if(col(label) == 0).alias("neg")
     )
 

@@ -1,10 +1,10 @@
 """Exact quantiles that do not gather a column in one place.
 
-The built-in exact percentile keeps every distinct value in one buffer. That is
-used up to a checked row count. Beyond it, a sketch brackets each quantile with
-two values, a count tells how many values lie below and inside the bracket, and
-only the distinct values inside it are ranked. Brackets that still hold too
-many distinct values are narrowed again.
+The built-in exact percentile keeps every distinct value in one buffer. Here a
+sketch brackets each quantile with two values, a count tells how many values lie
+below and inside the bracket, and only the distinct values inside it are ranked.
+Brackets that still hold too many distinct values are narrowed again. Tables of
+every size go this way.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from offerlens.functions.scalars import col
 
-MAX_BUFFERED = 200_000
+MAX_RANKED = 200_000  # distinct values that one task ranks
 SKETCH_ACCURACY = 10_000
 
 
@@ -48,23 +48,18 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    max_buffered: int = MAX_BUFFERED,
+    max_ranked: int = MAX_RANKED,
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column; None for a column without values."""
     if not columns:
         return {}
     value = {c: col(c).cast("double") for c in columns}
-    if df.count() <= max_buffered:
-        grid = F.array(*[F.lit(float(p)) for p in probabilities])
-        found = df.agg(*[F.percentile(value[c], grid).alias(f"q{i}") for i, c in enumerate(columns)]).first()
-        return {c: found[f"q{i}"] or [None] * len(probabilities) for i, c in enumerate(columns)}
-
     filled = df.agg(*[F.count(value[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
     sizes = {c: filled[f"n{i}"] for i, c in enumerate(columns)}
     brackets = {
         (c, p): _Bracket(c, _neighbours(p, n), n) for c, n in sizes.items() if n for p in probabilities
     }
-    statistics = _order_statistics(df, list(brackets.values()), max_buffered)
+    statistics = _order_statistics(df, list(brackets.values()), max_ranked)
     result = {}
     for c, n in sizes.items():
         row = []
@@ -84,16 +79,16 @@ def _neighbours(p: float, n: int) -> tuple[int, int]:
     return lower, min(lower + 1, n - 1)
 
 
-def _order_statistics(df, pending, max_buffered) -> dict[tuple, tuple[float, float]]:
+def _order_statistics(df, pending, max_ranked) -> dict[tuple, tuple[float, float]]:
     found = {}
-    max_buffered = max(max_buffered, 64)  # a bracket cannot get smaller than a few values
+    max_ranked = max(max_ranked, 64)  # a bracket cannot get smaller than a few values
     while pending:
         _narrow(df, pending)
         found.update({(b.column, b.ranks): (b.low, b.low) for b in pending if b.low == b.high})
         pending = [b for b in pending if b.low != b.high]
         _measure(df, pending)
-        found.update(_rank_inside(df, [b for b in pending if b.distinct <= max_buffered]))
-        pending = [b for b in pending if b.distinct > max_buffered]
+        found.update(_rank_inside(df, [b for b in pending if b.distinct <= max_ranked]))
+        pending = [b for b in pending if b.distinct > max_ranked]
     return found
 
 

@@ -21,10 +21,8 @@ ROWS_PER_RANGE = 50_000
 
 def _ranges(df: DataFrame, order: str, rows_per_range: int) -> DataFrame:
     """Add ``range``: 0, 1, ... in ascending order, each with a bounded number of rows."""
-    n = math.ceil(df.count() / rows_per_range)
-    if n <= 1:
-        return df.withColumn("range", F.lit(0))
-    cuts = df.approxQuantile(order, [i / n for i in range(1, n)], 1 / (4 * n))
+    n = max(math.ceil(df.count() / rows_per_range), 2)
+    cuts = df.approxQuantile(order, [i / n for i in range(1, n)], 1 / (4 * n)) or [0.0]
     splits = [-math.inf, *sorted(set(cuts)), math.inf]
     cut = Bucketizer(splits=splits, inputCol=order, outputCol="range").transform(df)
     return cut.withColumn("range", F.col("range").cast("int"))

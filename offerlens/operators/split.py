@@ -20,8 +20,6 @@ from offerlens.contract import N_FOLDS, SEED, TARGET, TEST_SIZE
 from offerlens.functions.hashing import key_digest
 from offerlens.functions.scalars import col
 
-ROWS_PER_PREFIX = 4096
-MAX_CLASSES = 100
 
 
 @dataclass(frozen=True)
@@ -34,16 +32,14 @@ class Cut:
 
 
 def class_counts(df: DataFrame, target: str = TARGET) -> dict[int, int]:
-    """Rows per class, ascending; the number of classes is checked."""
-    rows = df.groupBy(col(target).alias("cls")).agg(F.count("*").alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
+    """Rows per class, ascending."""
+    rows = df.groupBy(col(target).alias("cls")).agg(F.count("*").alias("n")).collect()
     return {r["cls"]: r["n"] for r in sorted(rows, key=lambda r: r["cls"])}
 
 
 def _prefix_length(rows: int) -> int:
-    """Hex digits after which a prefix holds a few thousand rows (at most a million prefixes)."""
-    return min(max(math.ceil(math.log(max(rows / ROWS_PER_PREFIX, 1), 16)), 1), 5)
+    """Hex digits that give about as many prefixes as a prefix has rows, so both grow with the square root."""
+    return max(math.ceil(math.log(max(rows, 1), 16) / 2), 1)
 
 
 def find_cuts(
@@ -55,9 +51,9 @@ def find_cuts(
         return []
     spark = df.sparkSession
     keyed = df.select(col(target).alias("cls"), digest.alias("digest"))
-    length = prefix_length or _prefix_length(df.count())  # reads row counts, no columns
+    length = prefix_length or _prefix_length(df.count())  # row counts alone
     prefix = F.substring("digest", 1, length)
-    # Bounded window: at most 16 ** length rows per class.
+    # A window over the prefixes of a class, not over its rows.
     order = Window.partitionBy("cls").orderBy("prefix")
     histogram = (
         keyed.groupBy("cls", prefix.alias("prefix")).agg(F.count("*").alias("n"))

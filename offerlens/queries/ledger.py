@@ -15,7 +15,6 @@ from offerlens.session import new_path, stage
 from offerlens.sources import files
 
 NAMES = ("accuracy", "precision", "recall", "f1", "roc_auc")
-LAST_MONTHS = (199707, 199708, 199709)
 
 
 def monthly(spark, folder) -> DataFrame:
@@ -71,11 +70,10 @@ _PARAMS = {
 
 
 def run_ledger(spark, folder) -> DataFrame:
-    """The evaluations of the last months registered one after the other."""
+    """The evaluations of all months registered one after the other."""
     path = new_path(spark, "runs")
     ledger = None
-    for month in LAST_MONTHS:
-        run = f"run-{month}"
+    for run in [r["run_id"] for r in monthly(spark, folder).select("run_id").orderBy("run_id").collect()]:
         metrics = metric_texts(spark, folder).where(F.col("run_id") == run)
         L.append_run(L.run_row(metrics, run, ledger, best_model="hash_score"), path)
         ledger = spark.read.parquet(path)
@@ -113,7 +111,7 @@ ORACLES = {
         f"SELECT run_id, '{p}' AS param, {v} AS value FROM monthly" for p, v in _PARAMS.items()), _MONTHLY),
     "run_ledger": over_scored(f"""SELECT run_id, 'campaign_response_model' AS registered_model_name,
  CAST(row_number() OVER (ORDER BY run_id) AS INTEGER) AS version, 'hash_score' AS best_model, {", ".join(NAMES)}
- FROM monthly WHERE "MES" IN {LAST_MONTHS}""", _MONTHLY),
+ FROM monthly""", _MONTHLY),
     "model_versions": over_scored("""SELECT run_id, CASE WHEN "MES" % 2 = 0 THEN 'even' ELSE 'odd' END AS registered_model_name,
  printf('%d-%02d-01', "MES" // 100, "MES" % 100) AS timestamp_utc,
  CAST(row_number() OVER (PARTITION BY "MES" % 2 ORDER BY "MES") AS INTEGER) AS version FROM monthly""", _MONTHLY),

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.contract import CUSTOMER, MODEL_SPECS, MONTH, TARGET, THRESHOLD
+from offerlens.contract import BOOSTED_SPEC, CUSTOMER, MODEL_SPECS, MONTH, TARGET, THRESHOLD
 from offerlens.functions.scalars import classify, col
 from offerlens.operators import evaluate as E
 from offerlens.operators import gates as G
@@ -24,8 +24,7 @@ from offerlens.session import new_path, stage
 
 TREE = ("decision_tree", {"criterion": "entropy", "max_depth": 6, "min_samples_split": 2})
 FOREST = ("random_forest", {"max_depth": 10, "min_samples_split": 5, "n_estimators": 200})
-BOOSTED = ("boosted_trees", {"learning_rate": 0.10, "max_depth": 3, "n_estimators": 20, "subsample": 0.8})
-SEARCHED = [spec for spec in MODEL_SPECS if spec.name == "decision_tree"]
+BOOSTED = T.parameter_sets([BOOSTED_SPEC])[0]
 
 
 def train_points(spark, folder) -> DataFrame:
@@ -80,7 +79,7 @@ def train_gbt(spark, folder) -> DataFrame:
 
 
 def _search(spark, folder) -> T.Search:
-    return once(spark, folder, "search", lambda: T.grid_search(train_points(spark, folder), SEARCHED))
+    return once(spark, folder, "search", lambda: T.grid_search(train_points(spark, folder)))
 
 
 def cv_search(spark, folder) -> DataFrame:
@@ -139,7 +138,7 @@ def training_record(spark, folder) -> DataFrame:
     return split.agg(F.count("*").alias("rows")).select(
         F.lit(TARGET).alias("target"), "rows", F.lit(len(split.columns) - 2).alias("columns"),
         F.lit(len(T.feature_names(split))).alias("n_features"), classes.alias("class_distribution"),
-        F.array(*[F.lit(s.name) for s in SEARCHED]).alias("models_trained"), results.alias("results_by_model"),
+        F.array(*[F.lit(s.name) for s in MODEL_SPECS]).alias("models_trained"), results.alias("results_by_model"),
         F.lit(family).alias("best_model"), F.lit(json.dumps(params)).alias("best_params"),
         F.lit(value).alias("cv_best_score"),
     )

@@ -155,16 +155,15 @@ def null_patterns_sql() -> str:
     return over_panel(f"SELECT {digits} AS pattern, count(*) AS count FROM panel GROUP BY 1")
 
 
-DUPLICATE_COLUMNS = ("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
-
-
 def duplicate_rows(spark, folder) -> DataFrame:
-    return P.duplicate_rows(read_table(spark, folder, "lineitem").select(*DUPLICATE_COLUMNS))
+    """All columns of all lines, returned lines planted a second time."""
+    lines = read_table(spark, folder, "lineitem")
+    return P.duplicate_rows(lines.unionByName(lines.where("l_returnflag = 'R'")))
 
 
-DUPLICATE_SQL = f"""
+DUPLICATE_SQL = """
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
-FROM (SELECT count(*) AS n FROM lineitem GROUP BY {", ".join(DUPLICATE_COLUMNS)})"""
+FROM (SELECT count(*) AS n FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R') GROUP BY ALL)"""
 
 
 def describe_all(spark, folder) -> DataFrame:

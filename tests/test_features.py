@@ -37,11 +37,11 @@ def test_uniform_draws_stay_in_their_range(raw):
     table = B.prepare(raw)
     fitted = B.fit_uniform(table, ["Meses_oferta"])
     f = fitted["Meses_oferta"]
-    assert (f["nulls"], f["mean"]) == (2, 3.0)
-    assert f["std"] == pytest.approx(1.8257418583505538)
+    assert (f["nulls"], f["mean"]) == (2, 7.0)
+    assert f["std"] == pytest.approx(2.581988897471611)
     filled = B.impute_uniform(table, fitted, SPEC.key, SPEC.seed)
     assert filled.where("Meses_oferta is null").isEmpty()
-    drawn = [r["Meses_oferta"] for r in filled.where(F.col("CLIENTE").isin(1003, 1006)).collect()]
+    drawn = [r["Meses_oferta"] for r in filled.where(F.col("CLIENTE").isin(72, 75)).collect()]
     assert len(set(drawn)) == 2
     assert all(f["lower"] <= v <= f["upper"] for v in drawn)
 
@@ -77,7 +77,7 @@ def test_even_median(spark):
 
 def test_mode_ties_take_the_smallest(raw):
     fitted = B.fit_categories(raw, SPEC)
-    assert (fitted["REGION"]["value"], fitted["EST_CIVIL"]["value"], fitted["SEXO"]["value"]) == ("COSTA", "CASADO", "M")
+    assert (fitted["REGION"]["value"], fitted["EST_CIVIL"]["value"], fitted["SEXO"]["value"]) == ("ESTE", "UNIDO", "F")
 
 
 def test_too_many_levels_is_an_error(raw):
@@ -99,8 +99,8 @@ def test_feature_table(raw, model):
     assert table.columns[:8] == ["MES", "Plazo_Renovado", "FLAG_VENTA", "Nro_Entidades", "Dif_Entidades", "Meses_oferta",
                                  "EDAD", "Flag_LimProv"]
     assert table.columns[8:18] == [f"{c}_LOG" for c in SPEC.log]
-    assert table.columns[18:] == ["REGION_COSTA", "REGION_ORIENTE", "REGION_SIERRA", "SEXO_F", "SEXO_M",
-                                  "EST_CIVIL_CASADO", "EST_CIVIL_DIVORCIADO", "EST_CIVIL_SOLTERO"]
+    assert table.columns[18:] == ["REGION_ESTE", "REGION_NORTE", "REGION_SUR", "SEXO_F", "SEXO_M",
+                                  "EST_CIVIL_LIBRE", "EST_CIVIL_UNIDO", "EST_CIVIL_VIUDO"]
     plan = table._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
 
