@@ -62,9 +62,9 @@ def _read(spark: SparkSession, run: str, name: str, hint: str) -> DataFrame:
         raise FileNotFoundError(f"{name} not found in {run}: run the {hint} stage first") from error
 
 
-def _report(df: DataFrame, run: str, name: str) -> None:
-    """A small report as one delimited file."""
-    files.write_delimited(df.coalesce(1), _at(run, name), ",")
+def _report(df: DataFrame, run: str, name: str, small: bool = True) -> None:
+    """A delimited report; a small one (a row per column, class or bin) as one file."""
+    files.write_delimited(df.coalesce(1) if small else df, _at(run, name), ",")
 
 
 def ingest(spark: SparkSession, source: str, run: str) -> DataFrame:
@@ -72,8 +72,7 @@ def ingest(spark: SparkSession, source: str, run: str) -> DataFrame:
     table = files.read_delimited(spark, source)
     G.enforce(G.dataset_gate(table))
     table = _write(table, run, "raw")
-    digest = files.table_fingerprint(table).select("fingerprint").scalar()
-    files.write_document(P.ingest_record(table, source, digest), _at(run, "ingest_record"))
+    files.write_document(P.ingest_record(table, source, files.content_md5(spark, source)), _at(run, "ingest_record"))
     return table
 
 
@@ -84,7 +83,7 @@ def validate(spark: SparkSession, run: str) -> DataFrame:
     _report(P.null_report(table), run, "null_report")
     _report(P.month_distribution(table), run, "mes_distribution")
     _report(P.describe_all(table), run, "describe_report")
-    _report(P.null_patterns(table), run, "null_patterns")
+    _report(P.null_patterns(table), run, "null_patterns", small=False)
     files.write_document(P.validation_summary(table, _at(run, "raw")), _at(run, "validation_summary"))
     return table
 
@@ -134,7 +133,8 @@ def train(spark: SparkSession, run: str, specs: Sequence[ModelSpec] = MODEL_SPEC
     }
     files.write_document(spark.createDataFrame([(json.dumps(record),)], "record string"), _at(run, "training_record"))
     facts = [("best_model", done.family), ("selection_metric", SELECTION_METRIC), ("cv_best_score", f"{done.cv_score:.4f}"),
-             ("params", json.dumps(done.params))]
+             ("params", json.dumps(done.params)), ("rows", str(record["rows"])), ("columns", str(record["columns"])),
+             ("models_trained", ",".join(record["models_trained"]))]
     _upsert(spark, run, spark.createDataFrame(facts, METRIC_SHAPE))
     return done
 
@@ -178,7 +178,7 @@ def evaluate(spark: SparkSession, run: str) -> DataFrame:
     record = _write(R.evaluation_record(scored, T.model_type(model), n_train, scored.agg(F.count("*")).scalar(),
                                         len(model.stages[0].getInputCols())), run, "evaluation_record")
     _report(E.classification_report(scored), run, "classification_report")
-    _report(E.roc_curve(scored), run, "roc_curve")
+    _report(E.roc_curve(scored), run, "roc_curve", small=False)
     _report(E.score_histogram(scored), run, "score_histogram")
     _report(R.report_rows(record), run, "model_report")
     texts = record.select(F.inline(F.array(*[
@@ -205,15 +205,22 @@ def register(spark: SparkSession, run: str, ledger: str, name: str = REGISTERED_
     except AnalysisException:
         known = None
     facts = {r["metric"]: r["value"] for r in table.where(F.col("metric").isin(
-        "best_model", "model_type", "selection_metric", "random_state", "test_size", "params", "n_features")).collect()}
+        "best_model", "model_type", "selection_metric", "random_state", "test_size", "params", "n_features", "rows", "columns",
+        "models_trained")).collect()}
+    trained = facts.pop("models_trained", "").split(",")
     row = L.run_row(table, run_id, known, name, best_model=facts.get("best_model"), model_path=_at(run, "model"))
     own = {k: json.dumps(v) if isinstance(v, (dict, list)) else str(v) for k, v in json.loads(facts.pop("params", "{}")).items()}
     pairs = [F.lit(v).alias(k) for k, v in facts.items()]
     params = F.create_map(*[F.lit(x) for pair in own.items() for x in pair]) if own else F.create_map().cast("map<string,string>")
-    facts_row = spark.range(1).select(F.lit(run_id).alias("run_id"), *pairs, params.alias("params"))
+    facts_row = spark.range(1).select(F.lit(run_id).alias("run_id"), *pairs, params.alias("params"),
+                                      F.array(*[F.lit(name) for name in trained]).alias("models_trained"))
     L.append_run(L.ledger_metrics(table).withColumn("run_id", F.lit(run_id)), _at(ledger, "metrics"))
     L.append_run(L.ledger_params(facts_row, ["run_id"]), _at(ledger, "params"))
     L.append_run(files.artifact_manifest(spark, run, ARTIFACTS, digest=False).withColumn("run_id", F.lit(run_id)), _at(ledger, "artifacts"))
+    split = _read(spark, run, "split", "build features")
+    example = split.where(F.col("split") == "test").orderBy(*KEY).limit(5).select(F.to_json(F.struct("*")).alias("row"))
+    example.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(_at(ledger, "examples"))
+    spark.read.text(_at(run, "model_signature")).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(_at(ledger, "signatures"))
     L.append_run(row, _at(ledger, "runs"))
     return spark.read.parquet(_at(ledger, "runs")).where(F.col("run_id") == run_id)
 

@@ -87,7 +87,8 @@ def clean_column_names(spark, folder) -> DataFrame:
 
 
 def content_fingerprint(spark, folder) -> DataFrame:
-    return files.table_fingerprint(read_table(spark, folder, "lineitem"))
+    """Doubles to six decimals, as engines write them differently."""
+    return files.table_fingerprint(read_table(spark, folder, "lineitem"), 6)
 
 
 def _fingerprint_sql() -> str:
@@ -96,13 +97,11 @@ def _fingerprint_sql() -> str:
         "l_extendedprice": "d", "l_discount": "d", "l_tax": "d", "l_returnflag": "i", "l_linestatus": "i",
         "l_shipdate": "i",
     }
-    texts = ", ".join(
-        f"coalesce(CAST({f'CAST(round_even({c} * 1000000, 0) AS BIGINT)' if k == 'd' else c} AS VARCHAR), '∅')"
-        for c, k in kinds.items()
-    )
+    values = [f"CAST({f'CAST(round_even({c} * 1000000, 0) AS BIGINT)' if k == 'd' else c} AS VARCHAR)" for c, k in kinds.items()]
+    texts = " || ".join(f"coalesce(length({v}) || ':' || {v}, '-')" for v in values)
     return f"""
 SELECT count(*) AS "rows",
-       CAST(coalesce(sum(CAST(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 15) AS BIGINT) AS HUGEINT)), 0)
+       CAST(coalesce(sum(CAST(CAST('0x' || substr(md5({texts}), 1, 15) AS BIGINT) AS HUGEINT)), 0)
             AS VARCHAR) AS fingerprint
 FROM lineitem"""
 
@@ -110,10 +109,10 @@ FROM lineitem"""
 def ingest_profile(spark, folder) -> DataFrame:
     path = _csv(spark, folder)
     table = files.read_delimited(spark, path, RAW_COLUMNS)
-    digest = files.table_fingerprint(table).select("fingerprint").scalar()
-    record = P.ingest_record(table, path, digest)
+    record = P.ingest_record(table, path, files.content_md5(spark, path))
     return record.select("rows", "columns", F.array_join("column_names", ",").alias("column_names"), "target",
-                         F.to_json("target_distribution").alias("target_distribution"))
+                         F.to_json("target_distribution").alias("target_distribution"),
+                         F.col("file_hash_md5").rlike("^[0-9a-f]{32}$").alias("has_md5"))
 
 
 def _counts_json(column: str, table: str) -> str:
@@ -124,7 +123,7 @@ def _counts_json(column: str, table: str) -> str:
 INGEST_SQL = over_raw(f"""
 SELECT (SELECT count(*) FROM raw) AS "rows", {len(RAW_COLUMNS)} AS columns,
        '{",".join(RAW_COLUMNS)}' AS column_names, '{TARGET}' AS target,
-       {_counts_json(TARGET, "raw")} AS target_distribution""")
+       {_counts_json(TARGET, "raw")} AS target_distribution, true AS has_md5""")
 
 
 def file_manifest(spark, folder) -> DataFrame:

@@ -14,6 +14,9 @@ from offerlens.functions.scalars import DECIMAL_TEXT, col, null_tokens
 from offerlens.operators.columns import clean_column_names, json_rows
 
 
+BEYOND = "__beyond_the_header"
+
+
 def existing(spark: SparkSession, path: str, what: str = "input", hint: str = "") -> str:
     """``path`` if it exists on its file system, else ``FileNotFoundError``."""
     try:
@@ -25,14 +28,22 @@ def existing(spark: SparkSession, path: str, what: str = "input", hint: str = ""
     return path
 
 
-def read_text_table(spark: SparkSession, path: str, separator: str = CSV_SEPARATOR) -> DataFrame:
-    """A delimited table with clean names, every column as text, missing tokens as NULL."""
+def read_text_table(spark: SparkSession, path: str, separator: str = CSV_SEPARATOR, multi_line: bool = False) -> DataFrame:
+    """A delimited table with clean names, every column as text, missing tokens as NULL.
+
+    A short row ends in missing cells; reading a row with more cells than the
+    header is an error. Quoted line breaks need ``multi_line``, which reads
+    each file in one task.
+    """
     existing(spark, path, "delimited file")
-    raw = (
+    reader = (
         spark.read.option("sep", separator).option("header", True).option("encoding", CSV_ENCODING)
-        .option("escape", '"').csv(path)
+        .option("escape", '"').option("multiLine", multi_line)
     )
-    table = clean_column_names(raw)
+    header = reader.csv(path).schema
+    raw = reader.schema(T.StructType([*header.fields, T.StructField(BEYOND, T.StringType())])).csv(path)
+    fits = F.assert_true(col(BEYOND).isNull(), F.lit(f"{path} has a row with more than {len(header)} cells"))
+    table = clean_column_names(raw.where(fits.isNull()).drop(BEYOND))
     return table.select(*[null_tokens(col(c)).alias(c) for c in table.columns])
 
 
@@ -71,9 +82,10 @@ def read_delimited(
     path: str,
     kinds: Mapping[str, str] | None = None,
     separator: str = CSV_SEPARATOR,
+    multi_line: bool = False,
 ) -> DataFrame:
     """A delimited table with typed columns. Without ``kinds`` the types are inferred."""
-    table = read_text_table(spark, path, separator)
+    table = read_text_table(spark, path, separator, multi_line)
     return cast_columns(table, kinds or infer_types(table))
 
 
@@ -122,21 +134,29 @@ def artifact_manifest(spark: SparkSession, path: str, wanted: Iterable[str], dig
     return found.agg(*facts)
 
 
-def table_fingerprint(df: DataFrame) -> DataFrame:
+def content_md5(spark: SparkSession, path: str) -> Column:
+    """MD5 of a file, or of the sorted MD5s of the files of a folder, as a one-row value."""
+    listed = file_manifest(spark, path).agg(F.sort_array(F.collect_list("md5")).alias("all"))
+    return listed.select(F.when(F.size("all") == 1, F.get("all", F.lit(0))).otherwise(F.md5(F.array_join("all", "")))).scalar()
+
+
+def table_fingerprint(df: DataFrame, digits: int | None = None) -> DataFrame:
     """Row count and an order-free digest of all rows, from a plain aggregate.
 
     Each row hashes to 60 bits and the hashes are summed, so the order of rows
-    and the number of partitions do not matter. Doubles are compared to six
-    decimals. Unlike a file hash this reads the table in parallel.
+    and the number of partitions do not matter. A cell enters with its length, so
+    no two rows read alike. Doubles enter exactly, or as whole numbers of
+    ``digits`` decimals. Unlike a file hash this reads the table in parallel.
     """
     texts = []
     for field in df.schema.fields:
         value = col(field.name)
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            small = F.abs(value) < 9e12
-            value = F.when(small, F.rint(value * 1_000_000).cast("bigint").cast("string")).otherwise(value.cast("string"))
-        texts.append(F.coalesce(value.cast("string"), F.lit("∅")))
-    digest = F.md5(F.concat_ws("|", *texts))
+        if digits is not None and isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            small = F.abs(value) < 9e18 / 10**digits
+            value = F.when(small, F.rint(value * 10**digits).cast("bigint").cast("string")).otherwise(value.cast("string"))
+        text = value.cast("string")
+        texts.append(F.coalesce(F.concat(F.length(text), F.lit(":"), text), F.lit("-")))
+    digest = F.md5(F.concat(*texts))
     bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(
         F.count("*").alias("rows"),

@@ -34,6 +34,14 @@ def test_published_matrix_gives_published_metrics(spark):
     assert cells == {(0, 0): 23174, (0, 1): 2045, (1, 0): 891, (1, 1): 157}
 
 
+@pytest.mark.parametrize("value", [None, float("nan"), float("inf")])
+def test_scores_must_be_finite(spark, value):
+    scored = spark.createDataFrame([(1, 0.5), (0, value)], "label int, score double")
+    for metric in (E.roc_auc, E.confusion_matrix):
+        with pytest.raises(Exception, match="missing or not finite"):
+            metric(scored).collect()
+
+
 def pairs_auc(labels, scores):
     pos, neg = scores[labels == 1], scores[labels == 0]
     return ((pos[:, None] > neg).sum() + 0.5 * (pos[:, None] == neg).sum()) / (len(pos) * len(neg))

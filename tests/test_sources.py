@@ -35,6 +35,19 @@ def test_declared_types_turn_bad_text_into_null(spark, tmp_path):
     assert [tuple(r) for r in rows] == [(None, "x"), (4, "y")]
 
 
+def test_a_row_beyond_the_header_is_an_error(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "a;b\n1;2\n3\n")
+    assert sorted(map(tuple, files.read_text_table(spark, path).collect())) == [("1", "2"), ("3", None)]
+    path = write(tmp_path / "b.csv", "a;b\n1;2;3\n")
+    with pytest.raises(Exception, match="more than 2 cells"):
+        files.read_text_table(spark, path).select("a").collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'a;b\n"x\ny";2\n')
+    assert [tuple(r) for r in files.read_text_table(spark, path, multi_line=True).collect()] == [("x\ny", "2")]
+
+
 def test_missing_path(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_delimited(spark, str(tmp_path / "absent.csv"))
@@ -83,6 +96,23 @@ def test_fingerprint_ignores_order_and_partitions_but_not_content(spark):
     assert doubled["fingerprint"] == str(2 * int(first["fingerprint"]))
 
 
+def test_fingerprint_tells_cells_and_small_differences_apart(spark):
+    def of(rows, shape):
+        return files.table_fingerprint(spark.createDataFrame(rows, shape)).first()["fingerprint"]
+
+    assert of([("a|b", "c")], "x string, y string") != of([("a", "b|c")], "x string, y string")
+    assert of([(None,)], "x string") != of([("-",)], "x string")
+    assert of([(1.0,)], "x double") != of([(1.0000000001,)], "x double")
+
+
+def test_folder_hash_covers_every_file(spark, tmp_path):
+    one = write(tmp_path / "a.csv", "x;y\n1;2\n")
+    digest = spark.range(1).select(files.content_md5(spark, one)).first()[0]
+    assert digest == hashlib.md5((tmp_path / "a.csv").read_bytes()).hexdigest()
+    write(tmp_path / "b.csv", "x;y\n3;4\n")
+    assert spark.range(1).select(files.content_md5(spark, str(tmp_path))).first()[0] != digest
+
+
 def test_json_rows_write_null_for_missing(spark):
     table = spark.createDataFrame([(1, float("nan"), None)], "i bigint, d double, t string")
     assert C.json_rows(table).first()[0] == '{"i":1,"d":null,"t":null}'

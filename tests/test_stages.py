@@ -60,8 +60,11 @@ def test_ledger_has_the_run_and_counts_versions(spark, run):
     assert row["version"] == 1 and row["best_model"] == "decision_tree"
     again = G.register(spark, path, ledger, require_gate=False).first()
     assert again["version"] == 2
-    params = {r["param"] for r in spark.read.parquet(f"{ledger}/params").where(F.col("run_id") == row["run_id"]).collect()}
-    assert params >= {"target", "param_max_depth", "selection_metric"}
+    params = {r["param"]: r["value"] for r in spark.read.parquet(f"{ledger}/params").where(F.col("run_id") == row["run_id"]).collect()}
+    assert set(params) >= {"target", "param_max_depth", "selection_metric"}
+    assert (params["rows"], params["models_trained"]) == ("1350", "decision_tree") and int(params["columns"]) > 20
+    assert spark.read.parquet(f"{ledger}/examples").where(F.col("run_id") == row["run_id"]).count() == 5
+    assert spark.read.parquet(f"{ledger}/signatures").where(F.col("run_id") == row["run_id"]).count() == 1
     names = {r["name"] for r in spark.read.parquet(f"{ledger}/artifacts").collect()}
     assert names >= {"metrics", "feature_importance", "split"}
 
