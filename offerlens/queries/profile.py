@@ -162,7 +162,7 @@ def duplicate_rows(spark, folder) -> DataFrame:
 
 DUPLICATE_SQL = """
 SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_rows
-FROM (SELECT count(*) AS n FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R') GROUP BY ALL)"""
+FROM (SELECT *, count(*) AS n FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_returnflag = 'R') GROUP BY ALL)"""
 
 
 def describe_all(spark, folder) -> DataFrame:
