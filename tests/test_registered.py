@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from offerlens.queries import ORACLES, QUERIES
 
-LONG = {"cv_search", "training_record", "train_forest", "train_gbt"}
-
 
 @pytest.fixture(scope="module")
 def connection(folder):
@@ -21,7 +19,7 @@ def test_equals_sql(spark, folder, connection, name):
     assert ours[1]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - LONG))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_runs(spark, folder, name):
     assert QUERIES[name](spark, folder).limit(1).collect()
 
