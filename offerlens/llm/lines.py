@@ -1,4 +1,4 @@
-"""Near-equal lines by an exact set-similarity join with prefix, positional and length filters."""
+"""Near-equal lines by an exact set-similarity join with prefix, positional, length and parity filters."""
 
 from __future__ import annotations
 
@@ -6,48 +6,105 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import id_and_text, slices, text_key
-from offerlens.llm.prefix import may_match, prefixes, rarity
+from offerlens.llm.common import id_and_text, slices
+from offerlens.llm.prefix import RARITY_BUCKETS, may_match, rarity
 from offerlens.llm.words import CHARS, U, counted, mix, words
 from offerlens.session import stage
 
 THRESHOLD = 0.8
+PLACES = 1 << 24  # bits of the table that tells which documents hold a line to compare; 2 MB at any size
 
+_TOKEN_BITS, _HASH_BITS = U(45), U(37)
+_LINES = 1 << 19
+_DRAWS = tuple(U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+PARITIES = ("parity", "parity2")
+_ROW = "doc_id long, t long, line int, key long, size int, parity long, parity2 long, groups array<long>, prefix array<int>"
 
-def _token_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of all lines with a word: (text, line number, limits into tokens, distinct word hashes by line)."""
-    split = [t.split("\n") for t in texts]
-    sizes = np.array([len(s) for s in split], np.int64)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    number = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    w = words([line for s in split for line in s])
-    line, token, _ = counted(w.doc, w.hashes)
-    used, first = np.unique(line, return_index=True)
-    return owner[used], number[used], np.append(first, len(line)), token
 
+def _token_sets(texts: list[str], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of all lines with a word: (text, line number, limits into tokens, distinct tokens from rare to common).
+
+    A token is a word's rarity class, then 37 bits of its hash, so one sort
+    of numbers both removes repeated words and orders the rest.
+    """
+    w = words(texts)
+    line = np.searchsorted(w.line_end, w.start)
+    token = (rank[(w.hashes & U(RARITY_BUCKETS - 1)).astype(np.int64)] << _HASH_BITS) | (w.hashes >> (U(64) - _HASH_BITS))
+    used, line = np.unique(line, return_inverse=True)
+    limits, tokens = [np.zeros(1, np.int64)], []
+    for low in range(0, len(used), _LINES):  # as many lines at a time as the other bits can number
+        i, j = np.searchsorted(line, (low, low + _LINES))
+        both = np.sort(((line[i:j] - low).astype(U) << _TOKEN_BITS) | token[i:j])
+        both = both[np.append(True, both[1:] != both[:-1])]
+        ends = np.searchsorted(both >> _TOKEN_BITS, np.arange(1, min(_LINES, len(used) - low) + 1, dtype=U))
+        limits.append(limits[-1][-1] + ends)
+        tokens.append(both & U((1 << int(_TOKEN_BITS)) - 1))
+    first_line = np.append(0, np.cumsum([t.count("\n") + 1 for t in texts]))
+    owner = np.searchsorted(first_line, used, side="right") - 1
+    return owner, used - first_line[owner], np.concatenate(limits), np.concatenate(tokens or [np.zeros(0, U)])
+
+
+def _rows(counts: np.ndarray, threshold: float):
+    """A row for every line: its key, its size, the parities of its tokens by 128 classes, two groups, its prefix."""
+    rank = np.minimum(8 * np.log2(counts + 1.0), 255).astype(U)
 
-def _prefixes(counts: np.ndarray, threshold: float):
-    """Rows (line key, size, doc order columns, prefix words with their positions) of every line."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in slices(texts, CHARS):
-                owner, number, limit, token = _token_sets(texts[lo:hi])
+                owner, number, limit, token = _token_sets(texts[lo:hi], rank)
                 size = np.diff(limit)
                 if not len(size):
                     continue
-                key = mix(np.add.reduceat(mix(token), limit[:-1]) + size.astype(U))
-                rare, _, length = prefixes(token, limit, counts, threshold)
-                prefix = pa.ListArray.from_arrays(
-                    pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(rare.view(np.int64)))
+                first, scrambled = limit[:-1], mix(token)
+                key = mix(np.add.reduceat(scrambled, first) + size.astype(U))
+                bit, half = U(1) << (scrambled >> U(58)), (scrambled >> U(57)) & U(1)
+                parity, parity2 = (np.bitwise_xor.reduceat(bit * h, first) for h in (U(1) - half, half))
+                least = [np.minimum.reduceat(scrambled * d, first) for d in _DRAWS]
+                groups = np.stack([mix(least[0] + mix(least[1])), mix(least[2] + mix(least[3]))], axis=1)
+                length = (size - np.ceil(threshold * size - 1e-9) + 1).astype(np.int64)
+                at = np.arange(len(token)) - np.repeat(first, size)
+                prefix = (scrambled[at < np.repeat(length, size)] >> U(32)).astype(np.uint32).view(np.int32)
                 rows = pa.array(owner + lo)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(rows), batch.column("t").take(rows), pa.array(number.astype(np.int32)),
-                     pa.array(key.view(np.int64)), pa.array(size.astype(np.int32)), prefix],
-                    ["doc_id", "t", "line", "key", "size", "prefix"])
+                     pa.array(key.view(np.int64)), pa.array(size.astype(np.int32)), pa.array(parity.view(np.int64)), pa.array(parity2.view(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(np.arange(0, groups.size + 1, 2, dtype=np.int32)), pa.array(groups.ravel().view(np.int64))),
+                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)).astype(np.int32)), pa.array(prefix))],
+                    ["doc_id", "t", "line", "key", "size", "parity", "parity2", "groups", "prefix"])
+
+    return run
+
+
+def _may_be_similar(threshold: float, a: str, b: str) -> Column:
+    """Whether two sets can reach the threshold by their sizes and parities.
+
+    Tokens in only one of two sets change the parity of a class each, so the
+    classes that differ are at most as many as those tokens.
+    """
+    t, x, y = F.lit(threshold), F.col(f"{a}size"), F.col(f"{b}size")
+    apart = sum(F.bit_count(F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))) for p in PARITIES)
+    return (F.least(x, y) >= t * F.greatest(x, y) - 1e-9) & (apart <= x + y - 2 * F.ceil(t / (t + 1) * (x + y) - 1e-9))
+
+
+def _places_table(hashes: DataFrame) -> np.ndarray:
+    """A table of PLACES bits with those of the hashes (column h) set."""
+    bits = hashes.groupBy(F.pmod(F.shiftright("h", 6), F.lit(PLACES // 64)).alias("cell")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).toPandas()
+    table = np.zeros(PLACES // 64, np.int64)
+    table[bits["cell"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
+    return table.view(U)
+
+
+def _in_places(table: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column("h").to_numpy()
+            cell = ((h >> 6) % len(table)).astype(np.int64)
+            yield batch.filter(pa.array((table[cell] >> (h & 63).astype(U)) & U(1) == 1)).select(["doc_id", "t", "text"])
 
     return run
 
@@ -76,7 +133,7 @@ def _similar(threshold: float):
                     x, y = token[limit[x]:limit[x + 1]], token[limit[y]:limit[y + 1]]
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     good[lo + k] = both >= threshold * (len(x) + len(y) - both) - 1e-9
-            yield pa.RecordBatch.from_arrays([batch.column("later"), batch.column("earlier")], ["later", "earlier"]).filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
 
     return run
 
@@ -84,52 +141,66 @@ def _similar(threshold: float):
 def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(lines, repeats): every line with a word, and the keys of word sets that repeat an earlier one.
 
-    lines is (doc_id, t, line, key, size); key stands for the line's set of
-    lower-case words, order the document id, then text key and line number.
-    repeats is (later, earlier): a key and a similar key that occurs first.
+    lines is (doc_id, t, line, key); t is a hash of the text, key stands for
+    the line's set of lower-case words, order the document id, then t and line
+    number. repeats is (later, earlier): a key and a similar key that occurs first.
     Words are ordered by rarity over the whole table (hashed counts; any
     common order gives the same result), so only a line's rarest words are
-    joined: two sets that reach the threshold share one there. Length and
-    position bound the overlap before a pair is kept, and the Jaccard
-    similarity of a kept pair is computed from the lines. A line is first
-    compared with the earliest line of each of its rare words. Only lines
-    that this does not settle meet all earlier lines, so a large group of
-    near-equal lines costs one comparison per line and word.
+    joined: two sets that reach the threshold share one there. Length,
+    position and the parity of the words' hash classes bound the overlap
+    before a pair is kept, and the Jaccard similarity of a kept pair is
+    computed from the lines. Lines are first grouped by minima of their word hashes and
+    compared with the earliest of their group: that settles most of a large
+    group of near-equal lines with two comparisons a line. Two settled lines
+    need no comparison with each other; all others meet in the join, so no repeat is missed.
     """
-    plain = id_and_text(docs).where("text is not null").select("doc_id", text_key().alias("t"), "text")
+    plain = id_and_text(docs).where("text is not null").select("doc_id", F.xxhash64("text").alias("t"), "text")
     counts = rarity(plain, lambda texts: words(texts).hashes)
-    rows = stage(plain.mapInArrow(_prefixes(counts, threshold), "doc_id long, t binary, line int, key long, size int, prefix array<long>"), "lines")
+    rows = stage(plain.mapInArrow(_rows(counts, threshold), _ROW), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "t", "line")
-    sets = rows.groupBy("key").agg(F.min(place).alias("place"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    postings = stage(sets.where("size > 3").select("key", "place", "size", F.posexplode("prefix").alias("at", "word")), "postings")
-    busy = postings.groupBy("word").agg(F.min_by(F.struct("key", "place", "size", "at"), F.struct("place", "key")).alias("low"),
-                                        F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stage(postings.join(busy, "word"), "shared")
-    earliest = shared.where("key != low.key").select(
-        F.col("key").alias("later"), F.col("low.key").alias("earlier"), F.col("size").alias("ls"), F.col("low.size").alias("es"),
-        F.col("at").alias("la"), F.col("low.at").alias("ea"))
-    wanted = shared.select("key", "place").distinct().groupBy("place.t").agg(F.collect_list(F.struct("key", F.col("place.line").alias("line"))).alias("wanted"))
-    texts = stage(plain.select("t", "text").join(wanted, "t").dropDuplicates(["t"]).mapInArrow(_texts_of_lines, "key long, text string"), "line-texts")
+    smallest = threshold / (1 - threshold) if threshold < 1 else float("inf")  # smaller sets have only equal ones
+    sets = stage(rows.where(F.col("size") >= smallest - 1e-9).groupBy("key").agg(
+        F.min(place).alias("place"), *[F.first(c).alias(c) for c in ("size", *PARITIES, "groups", "prefix")]), "line-sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.where(may_match(threshold, "ls", "es", "la", "ea")).select("later", "earlier").distinct()
-        sides = (pairs.join(texts.select(F.col("key").alias("later"), F.col("text").alias("a_text")), "later")
-                 .join(texts.select(F.col("key").alias("earlier"), F.col("text").alias("b_text")), "earlier"))
-        return stage(sides.mapInArrow(_similar(threshold), "later long, earlier long"), "line-links")
-
-    settled = verified(earliest)
-    open_ = shared.join(settled.select(F.col("later").alias("key")).distinct(), "key", "left_anti")
-    x, y = open_.alias("x"), shared.alias("y")
-    pairs = x.join(y, F.expr("x.word = y.word and (y.place < x.place or y.place = x.place and y.key < x.key) and y.key != x.low.key")).select(
-        F.expr("x.key").alias("later"), F.expr("y.key").alias("earlier"), F.expr("x.size").alias("ls"), F.expr("y.size").alias("es"),
-        F.expr("x.at").alias("la"), F.expr("y.at").alias("ea"))
-    return rows.drop("prefix"), settled.unionByName(verified(pairs))
+        """(later, earlier) of the pairs (a, b, a_place, b_place) that reach the threshold."""
+        pairs = stage(pairs, "line-pairs")
+        keys = pairs.select(F.col("a").alias("key"), F.col("a_place").alias("place")).union(pairs.select("b", "b_place"))
+        keys = keys.distinct().select("key", "place.doc_id", "place.t", "place.line")
+        home = F.xxhash64("doc_id", "t")
+        wanted = keys.groupBy("doc_id", "t").agg(F.collect_list(F.struct("key", "line")).alias("wanted"))
+        near = plain.withColumn("h", home).mapInArrow(_in_places(_places_table(keys.select(home.alias("h")))), "doc_id long, t long, text string")
+        found = near.join(wanted.withColumnRenamed("doc_id", "d"), (near["t"] == wanted["t"]) & near["doc_id"].eqNullSafe(F.col("d")))
+        texts = stage(found.select("text", "wanted").mapInArrow(_texts_of_lines, "key long, text string").dropDuplicates(["key"]), "line-texts")
+        sides = (pairs.select("a", "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a")
+                 .join(texts.select(F.col("key").alias("b"), F.col("text").alias("b_text")), "b"))
+        links = pairs.join(sides.mapInArrow(_similar(threshold), "a long, b long"), ["a", "b"])
+        late = F.col("a_place") > F.col("b_place")
+        return stage(links.select(F.when(late, F.col("a")).otherwise(F.col("b")).alias("later"),
+                                  F.when(late, F.col("b")).otherwise(F.col("a")).alias("earlier")), "line-links")
+
+    grouped = sets.select("key", "place", "size", *PARITIES, F.explode("groups").alias("group"))
+    earliest = grouped.groupBy("group").agg(F.min(F.struct("place", "key", "size", *PARITIES)).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = grouped.join(earliest.select("group", "low.*").select("group", *[F.col(c).alias(f"b_{c}") for c in ("place", "key", "size", *PARITIES)]), "group")
+    met = met.where((F.col("key") != F.col("b_key")) & _may_be_similar(threshold, "", "b_"))
+    settled = verified(met.select(F.col("key").alias("a"), F.col("b_key").alias("b"), F.col("place").alias("a_place"), F.col("b_place")).dropDuplicates(["a", "b"]))
+
+    marked = sets.join(settled.select(F.col("later").alias("key"), F.lit(1).alias("settled")).distinct(), "key", "left")
+    postings = marked.select("key", "size", *PARITIES, F.coalesce("settled", F.lit(0)).alias("settled"), F.posexplode("prefix").alias("at", "word"))
+    a, b = (postings.select("word", *[F.col(c).alias(f"{side}_{c}") for c in ("key", "size", *PARITIES, "settled", "at")]) for side in "ab")
+    once = F.expr("a_settled + b_settled < 2 and (a_settled < b_settled or a_settled = b_settled and a_key < b_key)")
+    pairs = a.join(b, "word").where(once & _may_be_similar(threshold, "a_", "b_") & may_match(threshold, "a_size", "b_size", "a_at", "b_at"))
+    pairs = pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
+    placed = sets.select("key", "place")
+    pairs = (pairs.join(placed.select(F.col("key").alias("a"), F.col("place").alias("a_place")), "a")
+             .join(placed.select(F.col("key").alias("b"), F.col("place").alias("b_place")), "b"))
+    return rows.select("doc_id", "t", "line", "key"), settled.unionByName(verified(pairs))
 
 
 def without_repeats(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, lines (with a word), removed (numbers of the lines to remove, from 0, ascending).
 
-    A line goes when an earlier line (by document id, text key, line number)
+    A line goes when an earlier line (by document id, text hash, line number)
     has a set of words with a Jaccard similarity of the threshold or more,
     equal sets included; whether that line goes itself does not matter. Lines
     without a word are never counted or removed. Every document has a row,
@@ -144,7 +215,7 @@ def without_repeats(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "doc_id", "t", "line", (F.coalesce("similar", F.lit(False)) | (place != F.col("first"))).alias("removed"))
     judged = judged.distinct().groupBy("doc_id", "t").agg(
         F.count(F.lit(1)).alias("lines"), F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("line")))).alias("removed"))
-    documents = id_and_text(docs).select("doc_id", text_key().alias("t")).distinct()
+    documents = id_and_text(docs).select("doc_id", F.when(F.col("text").isNotNull(), F.xxhash64("text")).alias("t")).distinct()
     return documents.alias("d").join(judged.alias("j"), F.expr("d.doc_id <=> j.doc_id and d.t = j.t"), "left").select(
         "d.doc_id", F.coalesce("j.lines", F.lit(0)).cast("long").alias("lines"),
         F.coalesce("j.removed", F.array().cast("array<int>")).alias("removed"))

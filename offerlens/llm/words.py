@@ -60,6 +60,7 @@ class Words:
     first: np.ndarray  # per text: index of its first word, and the total at the end
     start: np.ndarray
     end: np.ndarray
+    line_end: np.ndarray  # places of the line feeds, one after every text included
 
 
 def words(texts: list[str]) -> Words:
@@ -84,7 +85,7 @@ def words(texts: list[str]) -> Words:
     limits = np.concatenate(([0], np.cumsum(np.fromiter((len(t) + 1 for t in lowered), np.int64, len(lowered)))))
     first = np.searchsorted(start, limits)
     doc = np.repeat(np.arange(len(texts)), np.diff(first))
-    return Words(hashes, doc, first, start, end)
+    return Words(hashes, doc, first, start, end, np.flatnonzero(points == 10))
 
 
 def shingles(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
