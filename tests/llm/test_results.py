@@ -101,6 +101,15 @@ def test_repeated_lines_equal_brute_force(documents):
         assert rows[doc_id] == gone
 
 
+def test_token_sets_of_more_lines_than_are_numbered_at_once(monkeypatch):
+    rank = np.zeros(1 << 16, np.uint64)
+    texts = ["a b a\n\nc d", "", "\n!\n" + "\n".join(f"w{i} x w{i}" for i in range(20))]
+    whole = lines._token_sets(texts, rank)
+    assert whole[0].tolist() == [0, 0] + [2] * 20 and whole[1].tolist() == [0, 2, *range(2, 22)] and set(np.diff(whole[2])) == {2}
+    monkeypatch.setattr(lines, "_LINES", 4)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, lines._token_sets(texts, rank)))
+
+
 def test_cut_texts_keep_what_is_not_repeated():
     assert passages.cut_later("A b, c d. E", [(1, 2)]) == "A  d. E"
     assert lines.kept_text("a\nb\nc", [1]) == "a\nc"
