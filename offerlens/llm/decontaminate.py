@@ -42,11 +42,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
 
     t is the text key, start the first word of the overlap in the document.
     Hits of a seed give a diagonal (document position minus item position).
-    Along it the whole overlap of item and document is compared word by word,
-    and the best stretch is taken: the one with the largest number of matches
-    minus four times the mismatches, which never falls below the similarity
-    of 0.8 at either end. It counts with ``least_words`` words (or all words
-    of a shorter item) and a share of matches of ``similarity`` or more. So
+    Along it the whole overlap of item and document is compared word by word.
+    A stretch counts with ``least_words`` words or more (or all words of a
+    shorter item) and a share of matches of ``similarity`` or more; of those
+    the best is taken: the one with the largest number of matches minus, at
+    0.8, four times the mismatches. So
     substitutions are tolerated, also inside a seed's ignored positions, and
     parts of an item are found. An item below the seeds' span must occur word
     for word. Equal texts are judged once. Items without a word never match;
@@ -80,35 +80,59 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     high = F.least(F.size("iw"), F.size("w") - F.col("diagonal"))
     compared = pairs.withColumn("low", low).withColumn("same", F.zip_with(
         F.slice("iw", low + 1, high - low), F.slice("w", low + F.col("diagonal") + 1, high - low), lambda a, b: a == b))
-    best = compared.withColumn("best", _best_stretch(F.col("same")))
+    best = compared.withColumn("best", _best_stretch(F.col("same"), F.least(F.lit(least_words), F.size("iw")), similarity))
     stretch = best.select(
         "t", "item_id", (F.col("low") + F.col("diagonal") + F.col("best.start")).alias("start"),
-        F.col("best.words").alias("words"), F.col("best.matched").alias("matched"), F.size("iw").alias("n"))
-    enough = stretch.where((F.col("words") >= F.least(F.lit(least_words), F.col("n")))
-                           & (F.col("matched") >= F.col("words") * F.lit(similarity)))
+        F.col("best.words").alias("words"), F.col("best.matched").alias("matched"))
     rank = F.struct("matched", -F.col("words"), -F.col("start"))
-    return enough.groupBy("t", "item_id").agg(F.max_by(F.struct("start", "words", "matched"), rank).alias("o")).select(
+    return stretch.where("words > 0").groupBy("t", "item_id").agg(F.max_by(F.struct("start", "words", "matched"), rank).alias("o")).select(
         "t", "item_id", "o.start", "o.words", "o.matched")
 
 
-def _best_stretch(same: Column) -> Column:
-    """Start, length and matches of the stretch with the largest matches - 4 * mismatches (Kadane's running sum)."""
+def _best_stretch(same: Column, least: Column, similarity: float) -> Column:
+    """Start, length and matches of the best stretch of ``least`` words or more; words is 0 if none is similar enough.
+
+    A match gains 1 and a mismatch loses as much as makes a stretch at the
+    similarity 0, so a stretch is similar enough if its gain is not negative.
+    The largest gain wins, then the earliest end, then the latest start. Every
+    end is held against the lowest running sum ``least`` words before it or earlier.
+    """
+    loss = round(similarity / (1 - similarity), 9) if similarity < 1 else 1e9
+
+    def gain(hit: Column) -> Column:
+        return F.when(hit, 1.0).otherwise(-loss)
+
     def step(state: Column, hit: Column) -> Column:
-        gain = F.when(hit, 1).otherwise(-4)
-        fresh_start = state["run"] <= 0
-        run = F.when(fresh_start, gain).otherwise(state["run"] + gain)
-        begin = F.when(fresh_start, state["at"]).otherwise(state["begin"])
-        hits = F.when(fresh_start, F.lit(0)).otherwise(state["hits"]) + hit.cast("int")
-        better = run > state["top"]
+        at, left = state["at"] + 1, state["at"] + 1 - least
+        total, hits = state["total"] + gain(hit), state["hits"] + hit.cast("int")
+        before = F.get(same, left - 1)  # the word that the latest start has just passed
+        moved = left > 0
+        low, low_hits = (F.when(moved, state["low"] + gain(before)).otherwise(0.0),
+                         F.when(moved, state["low_hits"] + before.cast("int")).otherwise(0))
+        lower = moved & (low <= state["least"])
+        return F.struct(
+            at.alias("at"), total.alias("total"), hits.alias("hits"), low.alias("low"), low_hits.alias("low_hits"),
+            F.when(lower, low).otherwise(state["least"]).alias("least"),
+            F.when(lower, low_hits).otherwise(state["least_hits"]).alias("least_hits"),
+            F.when(lower, left).otherwise(state["begin"]).alias("begin"),
+            *[state[c].alias(c) for c in ("top", "start", "words", "matched")])
+
+    def judged(state: Column) -> Column:
+        top = state["total"] - state["least"]
+        better = (state["at"] >= least) & (top > state["top"])
         return F.struct(
-            (state["at"] + 1).alias("at"), run.alias("run"), begin.alias("begin"), hits.alias("hits"),
-            F.when(better, run).otherwise(state["top"]).alias("top"),
-            F.when(better, begin).otherwise(state["start"]).alias("start"),
-            F.when(better, state["at"] + 1 - begin).otherwise(state["words"]).alias("words"),
-            F.when(better, hits).otherwise(state["matched"]).alias("matched"))
-
-    names = ("at", "run", "begin", "hits", "top", "start", "words", "matched")
-    return F.aggregate(same, F.struct(*[F.lit(0).alias(n) for n in names]), step)
+            *[state[c].alias(c) for c in ("at", "total", "hits", "low", "low_hits", "least", "least_hits", "begin")],
+            F.when(better, top).otherwise(state["top"]).alias("top"),
+            F.when(better, state["begin"]).otherwise(state["start"]).alias("start"),
+            F.when(better, state["at"] - state["begin"]).otherwise(state["words"]).alias("words"),
+            F.when(better, state["hits"] - state["least_hits"]).otherwise(state["matched"]).alias("matched"))
+
+    # The sums are of whole numbers at 0.8; other similarities are rounded to 9 digits.
+    begin = {"at": 0, "total": 0.0, "hits": 0, "low": 0.0, "low_hits": 0, "least": 0.0, "least_hits": 0, "begin": 0,
+             "top": -1e-6, "start": 0, "words": 0, "matched": 0}
+    return F.aggregate(
+        same, F.struct(*[F.lit(v).alias(k) for k, v in begin.items()]),
+        lambda state, hit: F.element_at(F.transform(F.array(step(state, hit)), judged), 1))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
