@@ -1,14 +1,16 @@
-"""Benchmark decontamination with spaced seeds, in DataFrame operations only."""
+"""Benchmark decontamination with seeds that hit every overlap, in DataFrame operations only."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.llm.common import fresh, name, text_key
 from offerlens.session import stage
 
-# A seed reads the marked positions of a window of words and ignores the others.
+# The windows by which the SQL finds candidates: it compares the marked words and ignores the others.
 MASKS = ("110110111", "111011011")
 SPAN = len(MASKS[0])
 LEAST_WORDS = 12  # an overlap has this many words at least, or the whole item where it is shorter
@@ -21,20 +23,41 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != "")
 
 
-def seeds(tokens: str) -> Column:
-    """(at, hash) of every window of the words under every mask; none for fewer words than the span.
+def _run(n: int, similarity: float) -> int:
+    """Words in a row without a substitution that ``n`` words of the similarity have at least."""
+    changed = math.floor(n * (1 - similarity) + 1e-9)
+    return math.ceil((n - changed) / (changed + 1))
+
+
+def masks(n: int, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY) -> tuple[str, ...]:
+    """Masks of which one at least hits every overlap with an item of ``n`` words.
 
-    The hash covers the mask's number and its marked words.
+    A mask reads the words marked 1. A long overlap has one of fewer than
+    twice ``least_words`` words in it that is as similar, as one of its halves
+    is; a shorter item is overlapped whole. So unchanged runs of four words
+    hit all but three changes in 15 words that leave four runs of three, and
+    the second mask hits those.
     """
-    starts = F.when(F.size(tokens) >= SPAN, F.sequence(F.lit(0), F.greatest(F.size(tokens) - SPAN, F.lit(0)))).otherwise(
-        F.array().cast("array<int>"))
+    if n < least_words:
+        return ("1" * _run(n, similarity),)
+    if least_words >= LEAST_WORDS and similarity >= SIMILARITY:
+        return "1111", "1110111"
+    return ("1" * min(_run(k, similarity) for k in range(least_words, 2 * least_words)),)
 
-    def at(mask: int) -> Column:
-        marked = [j for j, bit in enumerate(MASKS[mask]) if bit == "1"]
+
+def seeds(tokens: str, taken: dict[str, Column]) -> Column:
+    """(at, hash) of every window of the words under the masks whose condition holds.
+
+    The hash covers the mask and its marked words.
+    """
+    def at(mask: str) -> Column:
+        marked = [j for j, bit in enumerate(mask) if bit == "1"]
+        starts = F.when(taken[mask] & (F.size(tokens) >= len(mask)),
+                        F.sequence(F.lit(0), F.greatest(F.size(tokens) - len(mask), F.lit(0)))).otherwise(F.array().cast("array<int>"))
         return F.transform(starts, lambda i: F.struct(
             i.alias("at"), F.xxhash64(F.lit(mask), *[F.get(F.col(tokens), i + j) for j in marked]).alias("hash")))
 
-    return F.concat(*[at(m) for m in range(len(MASKS))])
+    return F.concat(*[at(m) for m in taken])
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -46,33 +69,28 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     A stretch counts with ``least_words`` words or more (or all words of a
     shorter item) and a share of matches of ``similarity`` or more; of those
     the best is taken: the one with the largest number of matches minus, at
-    0.8, four times the mismatches. So
-    substitutions are tolerated, also inside a seed's ignored positions, and
-    parts of an item are found. An item below the seeds' span must occur word
-    for word. Equal texts are judged once. Items without a word never match;
+    0.8, four times the mismatches. So substitutions are tolerated wherever
+    they stand, and parts of an item are found; the seeds hit every overlap
+    that counts. Equal texts are judged once. Items without a word never match;
     items with equal words are each reported.
     """
-    if least_words < SPAN:
-        raise ValueError(f"an overlap of fewer than {SPAN} words has no seed")
     raw = docs.select(text_key().alias("t"), name("text").alias("text")).where("text is not null")
     texts = raw.select("t", words(F.col("text")).alias("w")).where(F.size("w") > 0)
     items = benchmark.select(name("item_id").alias("item_id"), words(name("text")).alias("iw")).where(F.size("iw") > 0).distinct()
     items = stage(items, "items")
     known = items.select(F.xxhash64("iw").alias("item"), "iw")
-    probes = known.select("item", F.explode(seeds("iw")).alias("s")).select(
+    # Sizes below least_words, and least_words for all others: a few numbers.
+    size = F.least(F.size("iw"), F.lit(least_words))
+    users: dict[str, list[int]] = {}
+    for n in sorted({least_words, *(r["n"] for r in items.select(size.alias("n")).distinct().collect())}):
+        for mask in masks(n, least_words, similarity):
+            users.setdefault(mask, []).append(n)
+    probes = known.select("item", F.explode(seeds("iw", {m: size.isin(of) for m, of in users.items()})).alias("s")).select(
         F.col("s.hash").alias("hash"), F.col("s.at").alias("item_at"), "item")
     probes = stage(probes.distinct(), "item-seeds")
-    hits = (texts.select("t", F.explode(seeds("w")).alias("s")).select("t", F.col("s.hash").alias("hash"), F.col("s.at").alias("at"))
+    hits = (texts.select("t", F.explode(seeds("w", {m: F.lit(True) for m in users})).alias("s"))
+            .select("t", F.col("s.hash").alias("hash"), F.col("s.at").alias("at"))
             .join(probes, "hash").select("t", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct())
-    # An item below the span is sought word for word at every place of a document.
-    sizes = [r["n"] for r in items.where(F.size("iw") < SPAN).select(F.size("iw").alias("n")).distinct().collect()]
-    if sizes:
-        places = texts.withColumn("n", F.explode(F.array(*map(F.lit, sizes)))).where(F.size("w") >= F.col("n")).select(
-            "t", "w", "n", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("n"))).alias("diagonal"))
-        hits = hits.unionByName(
-            places.select("t", "diagonal", F.xxhash64(F.slice("w", F.col("diagonal") + 1, F.col("n"))).alias("item"))
-            .join(known.where(F.size("iw") < SPAN).select("item").distinct(), "item", "left_semi")
-            .select("t", "item", "diagonal")).distinct()
     hits = stage(hits, "hits")
     found = raw.join(hits.select("t").distinct(), "t", "left_semi").dropDuplicates(["t"]).select("t", words(F.col("text")).alias("w"))
     pairs = hits.join(found, "t").join(items.withColumn("item", F.xxhash64("iw")), "item")

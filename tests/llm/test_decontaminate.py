@@ -1,6 +1,7 @@
 """Benchmark overlaps with planted substitutions."""
 
 import random
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,3 +41,29 @@ def test_best_stretch_finds_every_similar_stretch(spark):
 def test_substitutions_near_the_ends_or_each_other_are_tolerated(spark, part, places, size):
     rows = decontaminate.contaminated(*_planted(spark, [(part, places, size)])).collect()
     assert [(r.doc_id, r.item_id) for r in rows] == [(0, 0)] and rows[0].matched >= 0.8 * rows[0].words >= 0.8 * 12
+
+
+def _hit(same, mask):
+    return any(all(same[i + j] for j, bit in enumerate(mask) if bit == "1") for i in range(len(same) - len(mask) + 1))
+
+
+def test_seeds_hit_every_layout():
+    for n in range(1, 2 * decontaminate.LEAST_WORDS):
+        changed = n // 5
+        for places in combinations(range(n), changed):
+            same = [i not in places for i in range(n)]
+            assert any(_hit(same, m) for m in decontaminate.masks(n)), (n, places)
+    for least, similarity in ((6, 0.7), (9, 0.8), (9, 0.75)):
+        for n in range(least, 2 * least):
+            for places in combinations(range(n), int(n * (1 - similarity) + 1e-9)):
+                assert any(_hit([i not in places for i in range(n)], m) for m in decontaminate.masks(n, least, similarity))
+
+
+def test_substitutions_that_no_spaced_window_passes_are_found(spark):
+    cases = [(40, range(4, 40, 5), 40), (15, (3, 7, 11), 60), (12, (3, 8), 12), (5, (2,), 5), (8, (4,), 8), (10, (3, 6), 10), (11, (3, 7), 11)]
+    rows = decontaminate.contaminated(*_planted(spark, cases)).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(i, i) for i in range(len(cases))}
+    too_many = [(12, (3, 6, 9), 12), (8, (3, 4), 8), (4, (2,), 4), (10, (), 60)]
+    assert not decontaminate.contaminated(*_planted(spark, too_many)).collect()
+    docs, items = _planted(spark, [(9, (2, 6), 12)])
+    assert decontaminate.contaminated(docs, items, least_words=9, similarity=0.75).count() == 1
