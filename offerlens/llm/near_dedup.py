@@ -58,11 +58,10 @@ def probability_signature(doc: np.ndarray, element: np.ndarray, weight: np.ndarr
 
 
 def band_keys(texts: list[str], width: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places of texts with a word, their 64-bit band keys). A shingle's weight is 1 + ln of its count."""
-    doc, element = shingles(words(texts), width)
-    doc, element, count = counted(doc, element)
+    """(places of texts with a word, their 64-bit band keys). All shingles weigh the same, so bands follow the Jaccard similarity of sets."""
+    doc, element, _ = counted(*shingles(words(texts), width))
     places, doc = np.unique(doc, return_inverse=True)
-    signature = probability_signature(doc, element, 1.0 + np.log(count), len(places), bands * rows)
+    signature = probability_signature(doc, element, np.ones(len(element)), len(places), bands * rows)
     keys = np.tile(np.arange(bands, dtype=U), (len(places), 1))
     for j in range(rows):
         keys = mix(keys + signature.reshape(len(places), bands, rows)[:, :, j])
@@ -108,9 +107,9 @@ def near_links(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD
 
     Copies collapse to one text key first. Texts that share a band are
     candidates, and verification takes the exact Jaccard similarity of their
-    sets of shingles. (It equals the probability Jaccard similarity where no
-    shingle repeats. Where one does, a line that many texts repeat must not
-    make them alike.) Pairs within a band are not all formed. The text that meets
+    sets of shingles, which the signatures estimate as well: how often a text
+    repeats a shingle counts in neither. (A line that many texts repeat must
+    not make them alike, nor set copies apart.) Pairs within a band are not all formed. The text that meets
     the most others is the centre of its bands: edited copies resemble their
     original more than each other, and the original meets most. Every text is
     checked against the most central text it meets, then against the centre of each
