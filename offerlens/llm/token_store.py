@@ -72,11 +72,11 @@ def encode(texts: list[str], tokenizer_path: str) -> list[bytes]:
     missing = set().union(*cut).difference(known)
     line = _BARE + "\n"
     # Parts that are empty or touch other white space: such texts are cut with care, and those parts not remembered.
-    odd = {w for w in missing if w != line and (w in ("", _BARE) or w[1 if w[0] == _BARE else 0].isspace() or w[-1].isspace()
-                                                or _BARE in w[1:])}
+    # So are texts that hold the mark themselves, as their words could pass for marked parts.
+    odd = {w for w in missing if w != line and (w in ("", _BARE) or w[1 if w[0] == _BARE else 0].isspace() or w[-1].isspace())}
     passing: dict[str, bytes] = {}
-    if odd:
-        slow = [k for k, parts in enumerate(cut) if not odd.isdisjoint(parts)]
+    slow = [k for k, (text, parts) in enumerate(zip(texts, cut)) if _BARE in text or odd and not odd.isdisjoint(parts)]
+    if slow:
         for k in slow:
             first, *rest = _CUT.split(texts[k])
             cut[k] = [("head", first), *[("word", w) for w in rest]]
