@@ -31,17 +31,18 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def _tokenizer(path: str) -> dict:
-    """The worker's tokenizer, its ids that begin with a blank, and the words it remembers."""
+    """The worker's tokenizer of words and the one as it is in the file, the strings of its added tokens, the ids that begin with a blank, and the words it remembers."""
     state = worker_state()
     if path not in state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        plain, tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         blank = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
         blank[[i for token, i in tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
-        state[path] = {"tokenizer": tokenizer, "blank": blank, "known": {}, "older": {}}
+        added = [token.content for token in plain.get_added_tokens_decoder().values()]
+        state[path] = {"tokenizer": tokenizer, "plain": plain, "added": added, "blank": blank, "known": {}, "older": {}}
     return state[path]
 
 
@@ -60,13 +61,21 @@ def _ids_of_words(tokenizer, blank: np.ndarray, words: list[str], at_once: int =
     return out
 
 
-def encode(texts: list[str], tokenizer_path: str) -> list[bytes]:
+def encode(texts: list[str], tokenizer_path: str, special_as_text: bool = True) -> list[bytes]:
     """Ids of whole texts as little-endian 32-bit numbers, equal to the tokenizer's own for each text.
 
     Every distinct word is encoded by the tokenizer once, as long as the
-    worker remembers it; a text's ids are those of its words in a row.
+    worker remembers it; a text's ids are those of its words in a row. The
+    string of a special token is ordinary text, or without ``special_as_text``
+    that token, as by the library's default: texts that hold the string of
+    an added token then go through the tokenizer whole.
     """
     state = _tokenizer(tokenizer_path)
+    if not special_as_text:
+        held = [k for k, t in enumerate(texts) if any(a in t for a in state["added"])]
+        whole = dict(zip(held, _ids(state["plain"], [texts[k] for k in held])))
+        rest = iter(encode([t for k, t in enumerate(texts) if k not in whole], tokenizer_path))
+        return [whole[k] if k in whole else next(rest) for k in range(len(texts))]
     tokenizer, known, older = state["tokenizer"], state["known"], state["older"]
     cut = [(_BARE + t).replace("\n", f" {_BARE}\n {_BARE}").split(" ") for t in texts]
     missing = set().union(*cut).difference(known)
@@ -110,7 +119,7 @@ def _encoded(tokenizer_path: str, end: int):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for lo, hi in slices(texts, 1 << 21):
-                ids = [b + closing for b in encode(texts[lo:hi], tokenizer_path)]
+                ids = [b + closing for b in encode(texts[lo:hi], tokenizer_path, special_as_text=False)]
                 sizes = np.array([len(b) // 4 for b in ids], np.int64)
                 offsets = np.concatenate(([0], np.cumsum(sizes)))
                 values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
@@ -128,7 +137,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end: int = END
                  row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES) -> None:
     """Write doc_id, part, before, n_tokens and ids of every document in ascending doc_id order.
 
-    The whole text is encoded (NULL as empty) and ``end`` appended. Files are
+    The whole text is encoded (NULL as empty), the strings of special tokens
+    as these, and ``end`` appended. Files are
     ranges of doc_id, NULLs first, ties in the order of a text hash; part is
     the file's place and before counts the ids ahead of a document in its
     file. Ids are dictionary-coded, or bit-packed differences with

@@ -18,3 +18,20 @@ def test_words_that_begin_with_the_mark():
     texts = ["x \x01b", "b", "x\nb c", "x \x01b", "\x01", "x \x01 y", "x \x01", "a\n\x01b \x01\n c", "x \x01\x01b. d"]
     assert _ours(texts) == _plain(texts)
     assert [_ours([t])[0] for t in texts] == _plain(texts)
+
+
+SPECIAL = ["x <|endoftext|> a", "<|endoftext|>", "a<|endoftext|><|endoftext|>b. c", "<|endoftext|", "plain text", "\x01<|endoftext|>\n d", ""]
+
+
+def test_strings_of_special_tokens():
+    assert _ours(SPECIAL, special_as_text=False) == _plain(SPECIAL) and 50256 in _plain(SPECIAL)[0]
+    assert 50256 not in sum(_ours(SPECIAL), [])
+
+
+def test_written_tokens_equal_the_library_default(spark, tmp_path):
+    docs = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string")
+    token_store.write_tokens(docs, f"{tmp_path}/tokens", queries.tokenizer_path())
+    rows = token_store.read_tokens(spark, f"{tmp_path}/tokens").orderBy("doc_id").collect()
+    want = [ids + [token_store.END] for ids in _plain(SPECIAL)]
+    assert [list(r["ids"]) for r in rows] == want
+    assert [r["start"] for r in rows] == [sum(map(len, want[:k])) for k in range(len(want))]
