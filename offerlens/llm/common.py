@@ -52,3 +52,15 @@ def slices(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
         size += len(text)
     if start < len(texts):
         yield start, len(texts)
+
+
+def ranges(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive rows whose sizes add up to about ``limit``, one row at least."""
+    start, total, i = 0, 0, -1
+    for i, size in enumerate(sizes):
+        if i > start and total + size > limit:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if i >= start:
+        yield start, i + 1

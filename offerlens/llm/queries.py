@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import decontaminate, fingerprint, language, lines, mixing, near_dedup, passages, quality, shard, sql, token_store
+from offerlens.llm import decontaminate, fingerprint, language, lines, mixing, near_dedup, passages, quality, runs, shard, sql, token_store
 from offerlens.session import new_path
 
 SHARDS = 24
@@ -75,9 +75,30 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def looped(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the documents, by a hash of the id, repeat a block of their words to the end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = (g % n).cast("int")
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+        later = F.transform(F.sequence(a, n - 1), lambda i: F.get(w, a + (i - a) % p))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, 1, a), later), " ")).otherwise("")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # One lambda argument holds the words, so they are split once.
+    return docs.select("doc_id", F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(F.col("text")).alias("text"))
+
+
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digest(runs.periodic_runs(looped(_table(spark, folder, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_language, op3_tokens, op4_line_dedup, op5_passages, op6_near_dedup, op7_mixing, op8_fingerprints,
-    op9_quality, op10_decontamination)}
+    op9_quality, op10_decontamination, op11_runs)}
 
 ORACLES = {
     "op5_passages": sql.passages_sql(),
