@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from offerlens.llm import decontaminate, fingerprint, language, lines, mixing, near_dedup, passages, quality, runs, secrets, shard, sql, token_store
+from offerlens.llm import decontaminate, fingerprint, language, lines, mixing, near_dedup, passages, phrases, quality, runs, secrets, shard, sql, token_store
 from offerlens.session import new_path
 
 SHARDS = 24
@@ -96,16 +96,21 @@ def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.digest(runs.periodic_runs(looped(_table(spark, folder, "documents"))))
 
 
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(_table(spark, folder, "documents"))
+
+
 def op13_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(secrets.secrets(_table(spark, folder, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_language, op3_tokens, op4_line_dedup, op5_passages, op6_near_dedup, op7_mixing, op8_fingerprints,
-    op9_quality, op10_decontamination, op11_runs, op13_secrets)}
+    op9_quality, op10_decontamination, op11_runs, op12_phrases, op13_secrets)}
 
 ORACLES = {
     "op5_passages": sql.passages_sql(),
     "op8_fingerprints": sql.fingerprints(),
     "op10_decontamination": sql.decontamination(),
+    "op12_phrases": sql.collocations(),
 }

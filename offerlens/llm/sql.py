@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from offerlens.llm import decontaminate, fingerprint, passages
+from offerlens.llm import decontaminate, fingerprint, passages, phrases
 
 _WORDS = "list_filter(regexp_split_to_array(lower({text}), '[^\\pL\\pN]+'), lambda w: w <> '')"
 
@@ -98,3 +98,31 @@ sk AS (SELECT p.doc_id, length(text) AS n_chars, sha256(edited) AS edited_sha256
   FROM pairs p LEFT JOIN own o USING (doc_id) LEFT JOIN changed c USING (doc_id) LEFT JOIN own x ON x.doc_id = p.next_id)
 SELECT doc_id, n_chars, edited_sha256, array_to_string(a, '') AS fingerprint, array_to_string(e, '') AS edited_fingerprint,
   {near('a', 'e')} AS near_edited, {near('a', 'b')} AS near_next FROM sk"""
+
+
+def collocations() -> str:
+    order, least, percent, top = phrases.ORDER, phrases.LEAST_COUNT, phrases.COVER_PERCENT, phrases.TOP
+    return f"""
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang,
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w FROM pieces),
+sizes AS (SELECT unnest(range(1, {order + 1})) AS k),
+places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, sizes WHERE len(w) >= k),
+grams AS (SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f FROM places GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, g, f AS a FROM grams WHERE k >= 2 AND f >= {least}),
+inner_sizes AS (SELECT c.lang, c.g, c.k, c.a, s.k AS m FROM candidates c JOIN sizes s ON s.k BETWEEN 2 AND c.k - 1),
+inner_places AS (SELECT *, unnest(range(1, k - m + 2)) AS i FROM inner_sizes),
+through AS (SELECT lang, g[i:i + m - 1] AS g, max(a) AS through FROM inner_places GROUP BY ALL),
+kept AS (SELECT c.* FROM candidates c LEFT JOIN through t ON c.lang = t.lang AND c.g = t.g
+  WHERE t.through IS NULL OR 100 * t.through < {percent} * c.a),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM kept),
+parts AS (SELECT c.lang, c.g, c.a, c.cut, x.f AS l, y.f AS r, n,
+  (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.g = c.g[1:c.cut] JOIN grams y ON y.lang = c.lang AND y.g = c.g[c.cut + 1:c.k]
+  JOIN totals t ON t.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, c.cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank,
+  array_to_string(g, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+FROM parts QUALIFY rank <= {top}"""
