@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +20,10 @@ COVER_PERCENT = 100
 TOP = 2000
 CHARS = 1 << 22
 BITS = 1 << 26  # places in the table of frequent words: 8 MB at any size of the corpus
+POSITIONS = 1 << 20  # keys made at a time
+RANGE_KEYS = 1 << 18
+RANGES = 1 << 16  # bounds sent to the tasks: 512 KB at any size of the corpus
+SAMPLED = 10_000  # words a range in the sample that evens out the ranges
 _BITMAP = 4096 * 8  # bits of one of Spark's bitmaps
 _GROUPS = 64  # shares in which a language's best phrases are found side by side
 
@@ -84,96 +88,158 @@ def frequent_bits(words: DataFrame) -> bytes:
     return table.tobytes()
 
 
-def edges(docs: DataFrame, frequent: bytes, order: int = ORDER) -> DataFrame:
-    """(key, weight): how often ``order`` words stand in a row, and the shorter ends of pieces, in sorted ranges of keys.
+class _Ranges:
+    """Ranges of codes of keys, at most ``RANGES`` from a sample, each cut into equal parts where more are wanted.
 
-    A key is the words, each followed by a blank, the language after the first
-    word. Words without a bit in ``frequent`` cut a piece, as no frequent phrase
-    holds them. Keys that begin with the same words are neighbours, whatever their
-    number: a phrase that begins a third of all keys is spread over as many ranges.
+    A key's code strings together 16 bits of the checksums of its first four
+    words. The codes of all keys that begin with a phrase lie side by side, so a phrase
+    that begins a third of all keys is spread over a third of the ranges.
     """
-    table = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(table.value, np.uint8)
-        for langs, texts in _slices(batches):
-            words, index, piece, lang, names = _tokens(langs, texts)
-            both, pair = np.unique(lang.astype(np.int64) * max(len(words), 1) + index, return_inverse=True)
-            of, word = np.divmod(both, max(len(words), 1))
-            heads = [_head(names[a], w) for a, w in zip(of, words.take(pa.array(word)).to_pylist())]
-            place = np.fromiter((zlib.crc32(h.encode()) for h in heads), np.int64, len(heads)) % BITS
-            use = ((bits[place >> 3] >> (place & 7)) & 1).astype(bool)[pair]
-            at, piece = np.flatnonzero(use), piece[use]
-            if len(at) < 2:
-                continue
-            follows = np.append((np.diff(at) == 1) & (np.diff(piece) == 0), False)
-            columns, on = [pa.array(heads, pa.string()).take(pa.array(pair[at][follows]))], follows[follows]
-            step = np.flatnonzero(follows)
+    def __init__(self, bounds: list[int], parts: int) -> None:
+        self.bounds, self.parts = np.array([0, *bounds, 1 << 63], np.uint64), parts
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        place = np.searchsorted(self.bounds, codes, side="right") - 1
+        low, width = self.bounds[place], self.bounds[place + 1] - self.bounds[place]
+        part = (codes - low) // np.maximum(width // np.uint64(self.parts), 1).astype(np.uint64)
+        return place * self.parts + np.minimum(part.astype(np.int64), self.parts - 1)
+
+    def cut(self, codes: np.ndarray, k: int) -> np.ndarray:
+        """Whether keys with the same first k words as those of these codes may lie in several ranges."""
+        below = np.uint64((1 << max(63 - 16 * k, 0)) - 1)
+        return self.of(codes & ~below) != self.of(codes | below)
+
+
+def _codes(sums: list[np.ndarray]) -> np.ndarray:
+    """Codes from the checksums of the first four words, 63 bits."""
+    code = np.zeros(len(sums[0]), np.uint64)
+    for k, part in enumerate(sums[:4]):
+        shift = 63 - 16 * (k + 1)
+        code |= (part & 0xFFFF).astype(np.uint64) << np.uint64(shift) if shift >= 0 else (part & 0xFFFF).astype(np.uint64) >> np.uint64(-shift)
+    return code
+
+
+def _checksums(words: list[str]) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words))
+
+
+def _edges(frequent: bytes, order: int) -> Callable[[pa.Array, pa.Array], Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]]:
+    """Keys with their weights and codes in ascending order of codes, for some texts at a time."""
+    bits = np.frombuffer(frequent, np.uint8)
+
+    def of(langs: pa.Array, texts: pa.Array) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        words, index, piece, lang, names = _tokens(langs, texts)
+        both, pair = np.unique(lang.astype(np.int64) * max(len(words), 1) + index, return_inverse=True)
+        language, word = np.divmod(both, max(len(words), 1))
+        heads = [_head(names[a], w) for a, w in zip(language, words.take(pa.array(word)).to_pylist())]
+        sums = _checksums(heads)
+        place = sums % BITS
+        use = ((bits[place >> 3] >> (place & 7)) & 1).astype(bool)[pair]
+        at, piece = np.flatnonzero(use), piece[use]
+        if len(at) < 2:
+            return
+        follows = np.append((np.diff(at) == 1) & (np.diff(piece) == 0), False)
+        firsts, heads, word_sums = np.flatnonzero(follows), pa.array(heads, pa.string()), _checksums(words.to_pylist())
+        for low in range(0, len(firsts), POSITIONS):
+            step = firsts[low:low + POSITIONS]
+            first = pair[at[step]]
+            columns, parts, on = [heads.take(pa.array(first))], [sums[first]], np.ones(len(step), bool)
             for k in range(1, order):
-                spot = np.minimum(step + k, len(at) - 1)
-                columns.append(words.take(pa.array(index[at[spot]], mask=~on)))
-                on = on & follows[spot]
-            keys = pc.binary_join_element_wise(*columns, "", " ", null_handling="skip").value_counts()
-            yield pa.RecordBatch.from_arrays([keys.field(0), keys.field(1)], names=["key", "weight"])
+                on = on & follows[np.minimum(step + k - 1, len(at) - 1)]
+                spot = index[at[np.minimum(step + k, len(at) - 1)]]
+                columns.append(words.take(pa.array(spot, mask=~on)))
+                parts.append(np.where(on, word_sums[spot], 0))
+            keys = pc.binary_join_element_wise(*columns, " ", null_handling="skip").dictionary_encode()
+            which = keys.indices.to_numpy()
+            seen = np.empty(len(keys.dictionary), np.int64)
+            seen[which[::-1]] = np.arange(len(which))[::-1]
+            codes = _codes([p[seen] for p in parts])
+            sort = np.argsort(codes)
+            yield keys.dictionary.take(pa.array(sort)), np.bincount(which)[sort], codes[sort]
+
+    return of
+
+
+def edges(docs: DataFrame, frequent: bytes, words: int, order: int = ORDER) -> tuple[DataFrame, _Ranges]:
+    """(range, keys, weights): how often ``order`` words stand in a row, and the shorter ends of pieces; and the ranges.
+
+    A key is the words, with the language after the first. Words without a bit in ``frequent`` cut a
+    piece, as no frequent phrase holds them. Every task adds up equal keys and sends those of a
+    range in one row. ``words``, about the words of ``docs``, only sets the number of ranges.
+    """
+    context = docs.sparkSession.sparkContext
+    table = context.broadcast(frequent)
+    texts = _texts(docs)
+    wanted = -(-words // RANGE_KEYS)
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = _edges(table.value, order)
+        for langs, some in _slices(batches):
+            for _, _, codes in of(langs, some):
+                yield pa.RecordBatch.from_arrays([pa.array(codes.astype(np.int64))], names=["code"])
+
+    bounds: list[int] = []
+    if wanted > 1:  # the sample only evens out the ranges
+        count = min(wanted, RANGES)
+        share = texts if words < SAMPLED * count else texts.sample(SAMPLED * count / words, 7)
+        found = share.mapInArrow(sampled, "code long").approxQuantile("code", [i / count for i in range(1, count)], 0.1 / count)
+        bounds = sorted({int(x) for x in found if 0 < x < 2**63})
+    ranges_ = _Ranges(bounds, max(1, wanted // RANGES))
+    shared = context.broadcast(ranges_)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = _edges(table.value, order)
+        for langs, some in _slices(batches):
+            for keys, weights, codes in of(langs, some):
+                place = shared.value.of(codes)
+                starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+                offsets = pa.array(np.append(starts, len(place)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(place[starts]), pc.binary_join(pa.ListArray.from_arrays(offsets, keys), "  "),
+                     pa.ListArray.from_arrays(offsets, pa.array(weights, pa.int32()))], names=["range", "keys", "weights"])
 
-    rows = _texts(docs).mapInArrow(found, "key string, weight long")
-    return rows.repartitionByRange("key").sortWithinPartitions("key")
+    return texts.mapInArrow(found, "range long, keys string, weights array<int>"), ranges_
 
 
-def phrase_counts(sorted_edges: DataFrame, least: int = LEAST_COUNT, order: int = ORDER) -> DataFrame:
+def phrase_counts(graph: DataFrame, ranges_: _Ranges, least: int = LEAST_COUNT, order: int = ORDER) -> DataFrame:
     """(lang, phrase, k, a) of all phrases of 2 to ``order`` words that occur ``least`` times.
 
     The count of a node is the flow out of it, the sum over longer keys that
-    begin with it, plus the ends of pieces equal to it. A range of sorted keys
-    holds all of a phrase but where the phrase begins its first or last key; only for
-    those, parts of the count meet in a second step.
+    begin with it, plus the ends of pieces equal to it. A range holds all keys of
+    a phrase unless a bound lies among their codes; only for those phrases parts of
+    the count meet in a second step. A task holds one range, some ``RANGE_KEYS`` keys.
     """
-    def flows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_, edge = [None] * (order + 1), [True] * (order + 1)  # per length: phrase and count so far; whether it may go on in another range
-        for batch in batches:
-            out: list[tuple[str, int]] = []
-            lists = pc.split_pattern(batch.column(0), " ")
-            words, row = lists.flatten(), pc.list_parent_indices(lists).to_numpy()
-            offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            size = np.diff(offsets) - 1  # the blank at the end gives an empty word
-            ids = np.full((len(size), order), -1, np.int64)
-            real = np.arange(len(row)) - offsets[:-1][row] < size[row]
-            ids[row[real], (np.arange(len(row)) - offsets[:-1][row])[real]] = words.dictionary_encode().indices.to_numpy()[real]
-            weight, keys = batch.column(1).to_numpy(), batch.column(0)
-            change = np.ones(len(size), bool)
-            change[1:] = False
-            for k in range(1, order + 1):
-                change[1:] |= ids[1:, k - 1] != ids[:-1, k - 1]
-                if k == 1:
-                    continue
-                # Groups of keys with the same first k words; keys of fewer words are groups that do not count.
-                starts = np.flatnonzero(change)
-                sums = np.add.reduceat(np.where(size >= k, weight, 0), starts)
-                counts = size[starts] >= k
-                starts, sums = starts[counts], sums[counts]
-                if not len(starts):
-                    continue
-                first = " ".join(keys[int(starts[0])].as_py().split(" ")[:k])
-                if open_[k] and open_[k][0] == first:
-                    sums[0] += open_[k][1]
-                elif open_[k]:
-                    if edge[k] or open_[k][1] >= least:
-                        out.append(open_[k])
-                    edge[k] = False
-                wanted = np.flatnonzero(sums[:-1] >= least)
-                if edge[k] and len(sums) > 1:
-                    wanted = np.union1d(wanted, [0])
-                    edge[k] = False
-                for i, key in zip(wanted, keys.take(pa.array(starts[wanted])).to_pylist()):
-                    out.append((" ".join(key.split(" ")[:k]), int(sums[i])))
-                open_[k] = (" ".join(keys[int(starts[-1])].as_py().split(" ")[:k]), int(sums[-1]))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out]), pa.array([c for _, c in out], pa.int64())], names=["key", "a"])
-        last = [o for o in open_ if o]
-        if last:
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in last]), pa.array([c for _, c in last], pa.int64())], names=["key", "a"])
-
-    total = sorted_edges.mapInArrow(flows, "key string, a long").groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
+    shared = graph.sparkSession.sparkContext.broadcast(ranges_)
+
+    def flows(group: pa.Table) -> pa.Table:
+        keys = pc.split_pattern(group.column("keys").combine_chunks(), "  ").flatten()
+        weight = group.column("weights").combine_chunks().flatten().to_numpy().astype(np.int64)
+        lists = pc.split_pattern(keys, " ")
+        start, coded = lists.offsets.to_numpy()[:-1], lists.flatten().dictionary_encode()
+        size, ids = pc.list_value_length(lists).to_numpy(), coded.indices.to_numpy().astype(np.int64)
+        sums = _checksums(coded.dictionary.to_pylist())
+        node, row, code = ids[start], np.arange(len(size)), []
+        code.append(sums[node])
+        out_keys, out_counts = [], []
+        for k in range(2, order + 1):
+            long = size[row] >= k  # shorter ends of pieces leave the flow here
+            row, node = row[long], node[long]
+            if not len(row):
+                break
+            nxt = ids[start[row] + k - 1]
+            code = [c[long] for c in code] + [sums[nxt]]
+            _, first, node = np.unique(node * len(sums) + nxt, return_index=True, return_inverse=True)
+            flow = np.bincount(node, weights=weight[row]).astype(np.int64)
+            keep = flow >= least
+            if k < 4:
+                keep |= shared.value.cut(_codes([c[first] for c in code]), k)
+            keep = np.flatnonzero(keep)
+            out_keys += [" ".join(key.split(" ")[:k]) for key in keys.take(pa.array(row[first[keep]])).to_pylist()]
+            out_counts += flow[keep].tolist()
+        return pa.table({"key": pa.array(out_keys, pa.string()), "a": pa.array(out_counts, pa.int64())})
+
+    total = graph.groupBy("range").applyInArrow(flows, "key string, a long").groupBy("key").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
     head = F.substring_index("key", " ", 1)
     word = F.substring_index(head, "\n", 1)
     rest = F.expr("substring(key, length(substring_index(key, ' ', 1)) + 1)")
@@ -261,7 +327,8 @@ def collocations(docs: DataFrame, least: int = LEAST_COUNT, percent: int = COVER
     """
     words = stage(word_counts(docs), "words")
     frequent = words.where(F.col("count") >= least)
-    phrases = stage(phrase_counts(edges(docs, frequent_bits(frequent)), least), "phrases")
+    total = words.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    phrases = stage(phrase_counts(*edges(docs, frequent_bits(frequent), total), least), "phrases")
     rows = scored(phrases, words, compacted(phrases, percent))
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     share = F.pmod(F.xxhash64("phrase"), F.lit(_GROUPS))

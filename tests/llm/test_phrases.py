@@ -42,8 +42,13 @@ def _rows(df):
 
 
 @pytest.fixture
-def scattered(spark):
-    """Small batches and many ranges, so that groups of keys go on from one to the next."""
+def scattered(spark, monkeypatch):
+    """Small batches and many ranges, so that bounds fall among the keys of a phrase."""
+    from offerlens.llm import phrases
+
+    monkeypatch.setattr(phrases, "RANGE_KEYS", 300)
+    monkeypatch.setattr(phrases, "RANGES", 40)
+    monkeypatch.setattr(phrases, "POSITIONS", 50)
     old = {k: spark.conf.get(k) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
     for (key, _), value in zip(old.items(), ("7", "13", "false")):
         spark.conf.set(key, value)
@@ -82,7 +87,7 @@ def test_unary_paths_are_whole_passages(spark):
     passage = [f"w{i}" for i in range(23)]
     rows = [("en", " ".join(passage)), ("en", "x " + " ".join(passage) + " y")] * 4 + [("en", " ".join(passage[:9]))] * 3
     df = spark.createDataFrame(rows, "lang string, text string")
-    counts = phrase_counts(edges(df, frequent_bits(word_counts(df))), 3)
+    counts = phrase_counts(*edges(df, frequent_bits(word_counts(df)), 300), 3)
     # Three texts end within the passage, so the path breaks there, as it does at the texts that go on before and after it.
     paths = {r["phrase"]: r["a"] for r in unary_paths(counts).collect()}
     assert paths == {" ".join(passage[:9]): 11, " ".join(passage[5:]): 8, " ".join(["x"] + passage[:4]): 4, " ".join(passage[-4:] + ["y"]): 4}
