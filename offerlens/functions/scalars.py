@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerlens.contract import NULL_TOKENS
 
@@ -33,6 +34,13 @@ def to_numeric(value: Column) -> Column:
     return nan_to_null(F.when(value.cast("string").rlike(DECIMAL_TEXT), value.try_cast("double")))
 
 
+def as_double(value: Column, kind: T.DataType) -> Column:
+    """A column of any type as a number. Only texts need the pattern of decimal numbers."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return nan_to_null(value.cast("double"))
+    return value.cast("double") if isinstance(kind, T.NumericType) else to_numeric(value)
+
+
 def floor_zero(value: Column) -> Column:
     """Negative becomes zero and missing stays missing (``greatest`` would drop the NULL)."""
     return F.when(value < 0, F.lit(0.0)).otherwise(value)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from offerlens.contract import RENAMES
-from offerlens.functions.scalars import col, floor_zero, log_feature, nan_to_null, to_numeric
+from offerlens.functions.scalars import as_double, col, floor_zero, nan_to_null
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
@@ -38,7 +38,8 @@ def present(df: DataFrame, names: Iterable[str]) -> list[str]:
 
 def coerce_numeric(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Turn columns into doubles; text that is no number becomes NULL."""
-    return df.withColumns({c: to_numeric(col(c)) for c in present(df, names)})
+    kinds = df.schema
+    return df.withColumns({c: as_double(col(c), kinds[c].dataType) for c in present(df, names)})
 
 
 def floor_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -48,9 +49,8 @@ def floor_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
 def add_log_features(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Floor the source columns at zero and append ``<name>_LOG = log1p(source)``."""
     there = present(df, names)
-    sources = {c: floor_zero(to_numeric(col(c))) for c in there}
-    logs = {f"{c}_LOG": log_feature(to_numeric(col(c))) for c in there}
-    return df.withColumns({**sources, **logs})
+    floored = floor_columns(coerce_numeric(df, there), there)
+    return floored.withColumns({f"{c}_LOG": F.log1p(col(c)) for c in there})
 
 
 def columns_of(df: DataFrame, *kinds: type[T.DataType]) -> list[str]:

@@ -6,11 +6,12 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from offerlens.contract import MONTH, TARGET
 from offerlens.functions.scalars import col
-from offerlens.operators.columns import numeric_columns, present, text_columns
-from offerlens.operators.quantiles import exact_quantiles
+from offerlens.operators.columns import columns_of, numeric_columns, present
+from offerlens.operators.summary import summarise
 from offerlens.session import stage
 
 
@@ -135,41 +136,37 @@ def category_levels(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return level_counts(df, present(df, names)).select("column", F.col("value").alias("level"))
 
 
+DESCRIBE_SHAPE = (
+    "`column` string, count bigint, unique bigint, top string, freq bigint, mean double, std double, "
+    "min double, q25 double, q50 double, q75 double, max double, earliest string, latest string"
+)
+
+
 def describe_all(df: DataFrame) -> DataFrame:
-    """One row per column: count, unique, top, freq, mean, std, min, quartiles, max.
+    """One row per column: count, unique, top, freq, mean, std, min, quartiles, max, earliest, latest.
 
-    Numbers fill the numeric statistics and texts fill unique, top and freq.
+    Numbers fill the numeric statistics, all other types unique, top and freq of their
+    values as text, and dates and timestamps also the earliest and latest. A NaN is
+    missing. The table is scanned twice, whatever its columns; a table without columns gives no rows.
     """
     spark = df.sparkSession
-    numbers, texts = numeric_columns(df), text_columns(df)
-    shape = ("`column` string, count bigint, unique bigint, top string, freq bigint, mean double, "
-             "std double, min double, q25 double, q50 double, q75 double, max double")
-    parts = []
-    if numbers:
-        value = {c: col(c).cast("double") for c in numbers}
-        facts = df.agg(*[
-            F.struct(
-                F.count(value[c]).alias("count"), F.avg(value[c]).alias("mean"),
-                F.stddev_samp(value[c]).alias("std"), F.min(value[c]).alias("min"), F.max(value[c]).alias("max"),
-            ).alias(f"s{i}") for i, c in enumerate(numbers)
-        ]).first()
-        quartiles = exact_quantiles(df, numbers, (0.25, 0.5, 0.75))
-        rows = [
-            (c, s["count"], None, None, None, s["mean"], s["std"], s["min"], *quartiles[c], s["max"])
-            for i, c in enumerate(numbers) for s in [facts[f"s{i}"]]
-        ]
-        parts.append(spark.createDataFrame(rows, shape))
-    if texts:
-        summary = level_summary(level_counts(df, texts))
-        names = spark.createDataFrame([(c,) for c in texts], "`column` string")
-        gap = F.lit(None).cast("double")
-        parts.append(names.join(summary, "column", "left").select(
-            "column", F.coalesce("filled", F.lit(0)).alias("count"), F.coalesce("unique", F.lit(0)).alias("unique"),
-            "top", "freq", *[gap.alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")],
-        ))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    numbers = numeric_columns(df)
+    others = [c for c in df.columns if c not in numbers]
+    known = summarise(df, numbers, {c: (0.25, 0.5, 0.75) for c in numbers}, others)
+    rows = []
+    for c in numbers:
+        m = known.moments[c]
+        rows.append((c, known.filled[c], None, None, None, m["mean"], m["std"], m["min"], *known.quantiles[c], m["max"], None, None))
+    result = spark.createDataFrame(rows, DESCRIBE_SHAPE)
+    if others:
+        dated = columns_of(df, T.DateType, T.TimestampType, T.TimestampNTZType)
+        # Dates and timestamps as text keep their order.
+        ends = known.levels.groupBy("column").agg(F.min("value").alias("earliest"), F.max("value").alias("latest"))
+        summary = level_summary(known.levels).join(ends, "column")
+        names = spark.createDataFrame([(c, c in dated) for c in others], "`column` string, dated boolean")
+        result = result.unionByName(names.join(summary, "column", "left").select(
+            "column", F.coalesce("filled", F.lit(0)).alias("count"), F.coalesce("unique", F.lit(0)).alias("unique"), "top", "freq",
+            *[F.when(F.col("dated"), F.col(c)).alias(c) for c in ("earliest", "latest")]), allowMissingColumns=True)
     return result
 
 

@@ -29,8 +29,7 @@ from offerlens.operators.columns import (
     present,
     rename_columns,
 )
-from offerlens.operators.profile import level_counts
-from offerlens.operators.quantiles import exact_quantiles
+from offerlens.operators.summary import Summary, summarise
 
 IMPUTATION_SHAPE = (
     "`column` string, method string, nulls_imputed bigint, mean double, std double, "
@@ -51,39 +50,31 @@ def row_key(df: DataFrame, spec: FeatureSpec) -> list[str]:
 
 
 def fit_uniform(df: DataFrame, names: Sequence[str]) -> dict[str, dict]:
-    """Null count, mean, sample deviation and draw range per column, in one aggregate.
+    """Null count, mean, sample deviation and draw range per column.
 
     A column without values, or with one, counts as mean or deviation zero.
     """
     there = present(df, names)
-    if not there:
-        return {}
-    facts = df.agg(*[
-        F.struct(F.count_if(col(c).isNull()).alias("nulls"),
-                 F.coalesce(F.avg(col(c)), F.lit(0.0)).alias("mean"),
-                 F.coalesce(F.stddev_samp(col(c)), F.lit(0.0)).alias("std")).alias(f"c{i}")
-        for i, c in enumerate(there)
-    ]).first()
+    return _uniform(summarise(df, there), there) if there else {}
+
+
+def _uniform(known: Summary, names: Sequence[str]) -> dict[str, dict]:
     fitted = {}
-    for i, c in enumerate(there):
-        f = facts[f"c{i}"]
-        lower = max(0.0, f["mean"] - f["std"])
-        fitted[c] = {"nulls": f["nulls"], "mean": f["mean"], "std": f["std"],
-                     "lower": lower, "upper": max(lower, f["mean"] + f["std"])}
+    for c in names:
+        mean, std = known.moments[c]["mean"] or 0.0, known.moments[c]["std"] or 0.0
+        lower = max(0.0, mean - std)
+        fitted[c] = {"nulls": known.rows - known.filled[c], "mean": mean, "std": std, "lower": lower, "upper": max(lower, mean + std)}
     return fitted
 
 
 def fit_median(df: DataFrame, names: Sequence[str]) -> dict[str, dict]:
     """Null count and exact median per column; zero for a column without values."""
     there = present(df, names)
-    if not there:
-        return {}
-    nulls = df.agg(*[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(there)]).first()
-    medians = exact_quantiles(df, there, (0.5,))
-    return {
-        c: {"nulls": nulls[f"n{i}"], "value": 0.0 if medians[c][0] is None else medians[c][0]}
-        for i, c in enumerate(there)
-    }
+    return _median(summarise(df, quantiles={c: (0.5,) for c in there}), there) if there else {}
+
+
+def _median(known: Summary, names: Sequence[str]) -> dict[str, dict]:
+    return {c: {"nulls": known.rows - known.filled[c], "value": 0.0 if known.quantiles[c][0] is None else known.quantiles[c][0]} for c in names}
 
 
 def fit_categories(df: DataFrame, spec: FeatureSpec) -> dict[str, dict]:
@@ -93,27 +84,35 @@ def fit_categories(df: DataFrame, spec: FeatureSpec) -> dict[str, dict]:
     with more levels is an error.
     """
     there = present(df, spec.categorical)
-    if not there:
+    return _categories(summarise(df, levels=there), there, spec) if there else {}
+
+
+def _categories(known: Summary, names: Sequence[str], spec: FeatureSpec) -> dict[str, dict]:
+    if not names:
         return {}
-    nulls = df.agg(*[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(there)]).first()
-    found = level_counts(df, there)
     if spec.max_levels is not None:
-        wide = [r["column"] for r in found.groupBy("column").count().where(F.col("count") > spec.max_levels).collect()]
+        wide = [r["column"] for r in known.levels.groupBy("column").count().where(F.col("count") > spec.max_levels).collect()]
         if wide:
             raise ValueError(f"more than {spec.max_levels} levels in a category: {sorted(wide)}")
-    rows = found.collect()  # as many rows as the feature table gets columns
-    seen: dict[str, dict[str, int]] = {c: {} for c in there}
-    for r in rows:
+    seen: dict[str, dict[str, int]] = {c: {} for c in names}
+    for r in known.levels.collect():  # as many rows as the feature table gets columns
         seen[r["column"]][r["value"]] = r["count"]
     fitted = {}
-    for i, c in enumerate(there):
-        counts = seen[c]
+    for c in names:
+        counts, nulls = seen[c], known.rows - known.filled[c]
         mode = min(counts, key=lambda level: (-counts[level], level)) if counts else spec.unknown_level
-        levels = set(counts) | ({mode} if nulls[f"n{i}"] else set())
-        fitted[c] = {"nulls": nulls[f"n{i}"], "value": mode, "levels": sorted(levels)}
+        levels = set(counts) | ({mode} if nulls else set())
+        fitted[c] = {"nulls": nulls, "value": mode, "levels": sorted(levels)}
     return fitted
 
 
+def fit_all(df: DataFrame, spec: FeatureSpec = FeatureSpec()) -> dict[str, dict]:
+    """All three fits of a prepared table from the same two scans."""
+    uniform, median, categories = (present(df, names) for names in (spec.impute_uniform, spec.impute_median, spec.categorical))
+    known = summarise(df, uniform, {c: (0.5,) for c in median}, categories)
+    return {"uniform": _uniform(known, uniform), "median": _median(known, median), "mode": _categories(known, categories, spec)}
+
+
 def impute_uniform(df: DataFrame, fitted: dict[str, dict], key: Sequence[str], seed: int) -> DataFrame:
     """Fill gaps with a uniform draw from the fitted range; the draw depends on the row key."""
     def fill(c: str, f: dict) -> Column:
@@ -158,12 +157,7 @@ class FeatureBuilder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, dataset: DataFrame) -> FeatureBuilderModel:
         spec = _spec(self.getOrDefault(self.spec))
-        table = prepare(dataset, spec)
-        state = {
-            "uniform": fit_uniform(table, spec.impute_uniform),
-            "median": fit_median(table, spec.impute_median),
-            "mode": fit_categories(table, spec),
-        }
+        state = fit_all(prepare(dataset, spec), spec)
         return FeatureBuilderModel(spec=self.getOrDefault(self.spec), state=json.dumps(state))
 
 

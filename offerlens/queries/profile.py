@@ -169,12 +169,16 @@ def describe_all(spark, folder) -> DataFrame:
     return rounded(P.describe_all(panel(spark, folder)), 4)
 
 
+_NO_DATES = "CAST(NULL AS VARCHAR) AS earliest, CAST(NULL AS VARCHAR) AS latest"
+
+
 def _describe_sql() -> str:
     parts = []
     for c, kind in PANEL_COLUMNS.items():
         if kind == "string":
             modes = f'(SELECT "{c}" AS v, count(*) AS n FROM panel WHERE "{c}" IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 1)'
             gap = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in ("mean", "std", '"min"', "q25", "q50", "q75", '"max"'))
+            gap += ", " + _NO_DATES
             parts.append(f"""SELECT '{c}' AS "column", count("{c}") AS count, count(DISTINCT "{c}") AS "unique",
               (SELECT v FROM {modes}) AS top, (SELECT n FROM {modes}) AS freq, {gap} FROM panel""")
         else:
@@ -183,10 +187,38 @@ def _describe_sql() -> str:
               CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, round(avg({x}), 4) AS mean,
               round(stddev_samp({x}), 4) AS std, round(min({x}), 4) AS "min", round(quantile_cont({x}, 0.25), 4) AS q25,
               round(quantile_cont({x}, 0.5), 4) AS q50, round(quantile_cont({x}, 0.75), 4) AS q75,
-              round(max({x}), 4) AS "max" FROM panel""")
+              round(max({x}), 4) AS "max", {_NO_DATES} FROM panel""")
     return over_panel(" UNION ALL ".join(parts))
 
 
+def describe_types(spark, folder) -> DataFrame:
+    """Orders with their dates, a flag, and lists: a table of many column types."""
+    orders = read_table(spark, folder, "orders")
+    return rounded(P.describe_all(orders.select(
+        F.col("o_orderdate").cast("date").alias("ordered"), "o_orderdate", (F.col("o_orderstatus") == "O").alias("is_open"), "o_orderpriority",
+        F.array(F.substring("o_orderpriority", 1, 1)).alias("urgency"), F.col("o_totalprice").cast("decimal(12, 2)").alias("price"),
+        F.when(F.col("o_custkey") % 3 == 0, F.col("o_custkey")).alias("customer"), F.lit(None).cast("date").alias("never"))), 4)
+
+
+def _types_sql() -> str:
+    texts = {"ordered": ("CAST(CAST(o_orderdate AS DATE) AS VARCHAR)", True), "o_orderdate": ("strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')", True),
+             "is_open": ("CAST(o_orderstatus = 'O' AS VARCHAR)", False), "o_orderpriority": ("o_orderpriority", False),
+             "urgency": ("'[' || o_orderpriority[1] || ']'", False), "never": ("CAST(NULL AS VARCHAR)", True)}
+    numbers = {"price": "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE)", "customer": "CAST(CASE WHEN o_custkey % 3 = 0 THEN o_custkey END AS DOUBLE)"}
+    gap = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in ("mean", "std", '"min"', "q25", "q50", "q75", '"max"'))
+    parts = []
+    for c, (x, dated) in texts.items():
+        modes = f"(SELECT {x} AS v, count(*) AS n FROM orders WHERE {x} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 1)"
+        ends = f"min({x}) AS earliest, max({x}) AS latest" if dated else _NO_DATES
+        parts.append(f"""SELECT '{c}' AS "column", count({x}) AS count, count(DISTINCT {x}) AS "unique",
+          (SELECT v FROM {modes}) AS top, (SELECT n FROM {modes}) AS freq, {gap}, {ends} FROM orders""")
+    for c, x in numbers.items():
+        parts.append(f"""SELECT '{c}', count({x}), NULL, NULL, NULL, round(avg({x}), 4), round(stddev_samp({x}), 4), round(min({x}), 4),
+          round(quantile_cont({x}, 0.25), 4), round(quantile_cont({x}, 0.5), 4), round(quantile_cont({x}, 0.75), 4), round(max({x}), 4),
+          {_NO_DATES} FROM orders""")
+    return " UNION ALL ".join(parts)
+
+
 def validation_summary(spark, folder) -> DataFrame:
     summary = P.validation_summary(panel(spark, folder), folder)
     return summary.select(
@@ -320,6 +352,7 @@ QUERIES = {
     "null_patterns": lambda s, d: P.null_patterns(panel(s, d)),
     "duplicate_rows": duplicate_rows,
     "describe_all": describe_all,
+    "describe_types": describe_types,
     "validation_summary": validation_summary,
     "negative_counts": negative_counts,
     "category_levels": lambda s, d: P.category_levels(panel(s, d), SPEC.categorical),
@@ -350,6 +383,7 @@ ORACLES = {
     "null_patterns": null_patterns_sql(),
     "duplicate_rows": DUPLICATE_SQL,
     "describe_all": _describe_sql(),
+    "describe_types": _types_sql(),
     "validation_summary": _validation_sql(),
     "negative_counts": NEGATIVE_SQL,
     "category_levels": LEVELS_SQL,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from offerlens.operators import profile as P
 from offerlens.operators.columns import rename_columns
-from offerlens.operators.quantiles import exact_quantiles
+from offerlens.operators.summary import exact_quantiles
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +88,41 @@ def test_quantiles_are_exact_for_any_bracket_size(spark, ranked):
     for c in frame:
         assert got[c] == pytest.approx(frame[c].quantile(probabilities).tolist(), abs=1e-12)
     assert got["none"] == [None] * len(probabilities)
+
+
+def test_describe_takes_every_type_and_no_column(spark):
+    table = spark.range(5).selectExpr(
+        "date_add(date'2024-02-27', cast(id as int)) as d", "timestamp_ntz'2024-01-01 10:00:00' as t", "id % 2 = 0 as b", "array(id % 2) as a",
+        "named_struct('x', 1) as s", "cast('q' as binary) as y", "if(id = 0, double('nan'), id) as n", "cast(null as date) as e", "parse_json('{}') as v", "map(1, id % 2) as m")
+    rows = {r["column"]: r for r in P.describe_all(table).collect()}
+    assert list(sorted(rows)) == sorted(table.columns)
+    assert (rows["d"]["earliest"], rows["d"]["latest"], rows["d"]["unique"]) == ("2024-02-27", "2024-03-02", 5)
+    assert (rows["b"]["top"], rows["b"]["freq"], rows["b"]["earliest"]) == ("true", 3, None)
+    assert (rows["a"]["top"], rows["m"]["unique"], rows["v"]["freq"], rows["y"]["top"]) == ("[0]", 2, 5, "q")
+    assert (rows["n"]["count"], rows["n"]["mean"], rows["n"]["q50"], rows["e"]["count"], rows["e"]["earliest"]) == (4, 2.5, 2.5, 0, None)
+    assert P.describe_all(table.select("d")).count() == 1
+    assert P.describe_all(table.limit(0)).where("count = 0").count() == 10
+
+
+def test_summary_scans_twice(spark, tmp_path):
+    """Two reads of the table, by the plans that ran."""
+    from offerlens.operators.summary import summarise
+
+    spark.range(1000).selectExpr("id", "id * 1.5D as x", "cast(id % 7 as string) as c").write.parquet(str(tmp_path / "t"))
+    calls = spark.sparkContext.accumulator(0)
+    scans = spark.range(0).sparkSession.read.parquet(str(tmp_path / "t"))
+    counted = scans.mapInPandas(lambda it: (calls.add(len(b)) or b for b in it), scans.schema)
+    known = summarise(counted, ["x"], {"x": (0.1, 0.5), "id": (0.9,)}, ["c"])
+    assert calls.value == 2000 and known.rows == 1000
+    assert known.quantiles == {"x": [pytest.approx(149.85), 749.25], "id": [pytest.approx(899.1)]}
+    assert {r["value"]: r["count"] for r in known.levels.collect()}["0"] == 143
+
+
+def test_missed_brackets_are_widened(spark, monkeypatch):
+    from offerlens.operators import summary
+
+    monkeypatch.setattr(summary, "SKETCH_SIZE", 8)
+    monkeypatch.setattr(summary, "MARGIN", 1e-6)
+    table = spark.range(20_000).selectExpr("pmod(hash(id), 100003) as x")
+    expected = table.toPandas()["x"].quantile([0.3, 0.5]).tolist()
+    assert exact_quantiles(table, ["x"], (0.3, 0.5))["x"] == pytest.approx(expected)
