@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +17,11 @@ from offerlens.operators.oversample import as_points
 from offerlens.operators.split import split_distribution
 from offerlens.plans import reports as R
 from offerlens.plans import train as T
+from offerlens.plans.resample import ResampledClassifier
 from offerlens.queries.features import ALL_LOGGED, FEATURE_CTE, FEATURES
 from offerlens.queries.inputs import KEY, feature_split, once, rounded
 from offerlens.queries.panel_sql import over_panel
-from offerlens.queries.sampling import SPLIT_CTES
+from offerlens.queries.sampling import GROWN, SPLIT_CTES
 from offerlens.session import new_path, stage
 
 TREE = ("decision_tree", {"criterion": "entropy", "max_depth": 6, "min_samples_split": 2})
@@ -109,10 +111,28 @@ def model_signature(spark, folder) -> DataFrame:
 
 
 def signature_check(spark, folder) -> DataFrame:
-    """A frame with one feature gone and one too many."""
-    split = feature_split(spark, folder)
-    expected = T.feature_names(split)
-    return G.signature_gate(split.select(*[col(c) for c in expected if c != "EDAD"], F.lit(1).alias("EXTRA")), expected)
+    """Test rows scored through the contract: as they are, and with one feature gone and one too many."""
+    model, test = tree_model(spark, folder), feature_split(spark, folder).where(F.col("split") == "test")
+    parts = []
+    for case, frame in (("as_fitted", test), ("changed", test.drop("EDAD").withColumn("EXTRA", F.lit(1)))):
+        features = frame.select(*[col(c) for c in T.feature_names(frame)])
+        try:
+            scored = T.score_checked(model, frame).agg(F.count("probability")).first()[0]
+        except G.GateError:
+            scored = 0
+        verdicts = G.signature_gate(features, model.stages[0].getInputCols())
+        parts.append(verdicts.select(F.lit(case).alias("case"), "check", "passed", "detail", F.lit(scored).cast("long").alias("scored")))
+    return parts[0].unionByName(parts[1])
+
+
+def resampled_rows(spark, folder) -> DataFrame:
+    """Rows and weights per class that an estimator fitted on the train rows sees, from inside the fit."""
+    inner = T.make_estimator(*FOREST)
+    table = train_points(spark, folder).withColumnRenamed("features", "x")
+    rows = ResampledClassifier(estimator=inner).resampled(table)
+    return rounded(rows.groupBy(F.col("label").cast("long").alias("class")).agg(
+        F.count("*").alias("rows"), F.avg("weight").alias("weight"), F.count_if(F.size(vector_to_array("x")) == len(T.feature_names(
+            feature_split(spark, folder)))).alias("complete")))
 
 
 def input_example(spark, folder) -> DataFrame:
@@ -154,12 +174,16 @@ QUERIES = {
     "feature_importance": feature_importance,
     "model_signature": model_signature,
     "signature_check": signature_check,
+    "resampled_rows": resampled_rows,
     "input_example": input_example,
     "training_record": training_record,
 }
 
 ORACLES = {
     "input_example": INPUT_EXAMPLE_SQL,
-    "signature_check": """SELECT * FROM (VALUES ('no_missing_features', false, 'EDAD'), ('no_extra_features', false, 'EXTRA'))
-AS t("check", passed, detail)""",
+    "signature_check": over_panel("""SELECT * FROM (VALUES ('as_fitted', 'no_missing_features', true, ''), ('as_fitted', 'no_extra_features', true, ''),
+ ('changed', 'no_missing_features', false, 'EDAD'), ('changed', 'no_extra_features', false, 'EXTRA')) AS t("case", "check", passed, detail),
+ LATERAL (SELECT CASE WHEN "case" = 'as_fitted' THEN count(*) ELSE 0 END AS scored FROM split WHERE split = 'test')""", SPLIT_CTES),
+    "resampled_rows": over_panel("""SELECT class, n AS "rows", round(CAST((SELECT sum(n) FROM grown) AS DOUBLE) / (2 * n), 6) AS weight, n AS complete
+FROM grown""", SPLIT_CTES + ", " + GROWN.replace("FROM panel", "FROM split WHERE split = 'train'")),
 }

@@ -5,22 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.contract import N_FOLDS, SEED, SMOTE_NEIGHBOURS, SMOTE_RATIO, TARGET, TEST_SIZE
+from offerlens.contract import CUSTOMER, N_FOLDS, SEED, SMOTE_NEIGHBOURS, SMOTE_RATIO, TARGET, TEST_SIZE
 from offerlens.functions.scalars import col
 from offerlens.operators import neighbours as N
 from offerlens.operators import oversample as O
 from offerlens.operators import split as S
-from offerlens.queries.inputs import KEY, KEY_SQL, once, panel, rounded
+from offerlens.queries.features import FEATURE_CTE, FEATURES
+from offerlens.queries.inputs import KEY, KEY_SQL, builder, once, panel, raw, rounded
 from offerlens.queries.panel_sql import digest_sql, over_panel, uniform_sql
 from offerlens.session import new_path, stage
 
-# Columns with whole numbers, so that distances are equal in both engines to the last bit.
-POINT_FEATURES = ("Plazo_Renovado", "Nro_Entidades", "Dif_Entidades", "Ahorro", "Linea_Renovado")
+# All features a model is fitted on, in whole hundredths, so that distances are equal in both engines to the last bit.
+POINT_FEATURES = tuple(c for c in FEATURES if c not in (TARGET, "CLIENTE"))
 
 
 def points(spark, folder) -> DataFrame:
-    return once(spark, folder, "points", lambda: stage(
-        O.as_points(panel(spark, folder), KEY, POINT_FEATURES, TARGET), "points"))
+    def make() -> DataFrame:
+        table = builder(spark, folder).keeping(CUSTOMER).transform(raw(spark, folder))
+        hundredths = F.array(*[F.round(col(c).cast("double") * 100).cast("long").cast("double") for c in POINT_FEATURES])
+        return stage(table.select(
+            F.concat_ws(":", *[col(k).cast("string") for k in KEY]).alias("key"), col(TARGET).cast("int").alias("label"),
+            hundredths.alias("features")), "points")
+
+    return once(spark, folder, "points", make)
 
 
 SPLIT_CTES = f"""
@@ -61,7 +68,9 @@ def split_roundtrip(spark, folder) -> DataFrame:
 
 
 def class_weights(spark, folder) -> DataFrame:
-    weights = S.balanced_weights(panel(spark, folder))
+    """Weights of the oversampled rows: what a model sees."""
+    oversampled = once(spark, folder, "oversampled", lambda: stage(O.oversample(points(spark, folder)), "oversampled"))
+    weights = S.balanced_weights(oversampled, "label")
     return rounded(spark.createDataFrame(list(weights.items()), "class bigint, weight double"))
 
 
@@ -73,9 +82,10 @@ def smote_neighbours(spark, folder) -> DataFrame:
 
 
 _SQUARES = " + ".join(f"(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})" for i in range(len(POINT_FEATURES)))
-_NEIGHBOURS = f"""
+_NEIGHBOURS = FEATURE_CTE + f""",
 rare AS (SELECT concat_ws(':', "MES", "CLIENTE") AS key, {", ".join(
-    f'CAST("{c}" AS DOUBLE) AS f{i}' for i, c in enumerate(POINT_FEATURES))} FROM panel WHERE "FLAG_VENTA" = 1),
+    f'CAST(CAST(round(CAST("{c}" AS DOUBLE) * 100) AS BIGINT) AS DOUBLE) AS f{i}' for i, c in enumerate(POINT_FEATURES))}
+  FROM features WHERE "FLAG_VENTA" = 1),
 near AS (SELECT * FROM (
   SELECT a.key, b.key AS neighbour, sqrt({_SQUARES}) AS distance, {", ".join(f"b.f{i} AS g{i}" for i in range(len(POINT_FEATURES)))},
          row_number() OVER (PARTITION BY a.key ORDER BY sqrt({_SQUARES}), b.key) - 1 AS place
@@ -101,6 +111,11 @@ ordered AS (SELECT *, row_number() OVER (ORDER BY {digest_sql(SEED, 'seed', ['ke
 seeds AS (SELECT o.*, unnest(range(1, 1 + n // minor + CAST(spot <= n % minor AS BIGINT))) AS copy FROM ordered o, wanted)""")
 
 
+# Rows per class after oversampling: the rare class grows to a share of the other.
+GROWN = f"""sizes AS (SELECT count(*) FILTER ("FLAG_VENTA" = 1) AS minor, count(*) FILTER ("FLAG_VENTA" = 0) AS major FROM panel),
+grown AS (SELECT CAST(0 AS BIGINT) AS class, major AS n FROM sizes
+  UNION ALL SELECT 1, minor + CAST(floor(CAST({SMOTE_RATIO} AS DOUBLE) * major - minor) AS BIGINT) FROM sizes)"""
+
 QUERIES = {
     "stratified_split": stratified_split,
     "split_distribution": lambda s, d: S.split_distribution(S.stratified_split(panel(s, d), KEY)),
@@ -119,8 +134,7 @@ UNION ALL SELECT 'total', "FLAG_VENTA", count(*) FROM split GROUP BY 2""", SPLIT
     "stratified_folds": _FOLDS_SQL,
     "split_roundtrip": over_panel("""SELECT "MES", "FLAG_VENTA", count(*) AS "rows", CAST(sum("CLIENTE") AS BIGINT) AS keys
 FROM split WHERE split = 'test' GROUP BY 1, 2""", SPLIT_CTES),
-    "class_weights": over_panel("""SELECT "FLAG_VENTA" AS class, round((SELECT count(*) FROM panel)
- / (CAST((SELECT count(DISTINCT "FLAG_VENTA") FROM panel) AS DOUBLE) * count(*)), 6) AS weight FROM panel GROUP BY 1"""),
+    "class_weights": over_panel("""SELECT class, round(CAST((SELECT sum(n) FROM grown) AS DOUBLE) / (2 * n), 6) AS weight FROM grown""", GROWN),
     "smote_neighbours": over_panel("SELECT key, CAST(place AS INTEGER) AS place, neighbour, round(distance, 6) AS distance FROM near", _NEIGHBOURS),
     "smote_rows": _SMOTE_SQL,
 }
