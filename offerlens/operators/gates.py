@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from offerlens.contract import GATE_MINIMUMS, MONTH, RAW_COLUMNS, TARGET
@@ -61,42 +61,45 @@ def dataset_gate(
     ])
 
 
-def _null_facts(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row: number of rows, number of nulls, and the columns that hold them."""
-    counts = [F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)]
-    total = sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0).cast("long"))
-    holders = F.array_join(
-        F.filter(F.array(*[F.when(F.col(f"n{i}") > 0, F.lit(c)) for i, c in enumerate(names)]),
-                 lambda name: name.isNotNull()), ", ")
-    return df.agg(F.count("*").alias("rows"), *counts).select(
-        "rows", total.alias("nulls"), holders.alias("holders")
-    )
+def _null_counts(names: Sequence[str]) -> list[Column]:
+    return [F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)]
 
 
 def final_gate(df: DataFrame, target: str = TARGET) -> DataFrame:
     """Is this a model-ready feature table: rows, target, no nulls, no text?"""
+    return _final_verdicts(df, target, df.agg(F.count("*").alias("rows"), *_null_counts(df.columns)))
+
+
+def _final_verdicts(df: DataFrame, target: str, facts: DataFrame) -> DataFrame:
     texts = text_columns(df)
-    return _verdicts(_null_facts(df, df.columns), [
+    total = sum((F.col(f"n{i}") for i in range(len(df.columns))), F.lit(0).cast("long"))
+    holders = F.array_join(
+        F.filter(F.array(*[F.when(F.col(f"n{i}") > 0, F.lit(c)) for i, c in enumerate(df.columns)]),
+                 lambda name: name.isNotNull()), ", ")
+    return _verdicts(facts, [
         ("not_empty", F.col("rows") > 0, F.col("rows")),
         ("target_present", F.lit(target in df.columns), F.lit(target)),
-        ("no_nulls", F.col("nulls") == 0, F.col("holders")),
+        ("no_nulls", total == 0, holders),
         ("no_text_columns", F.lit(not texts), _names(texts)),
     ])
 
 
+def _label_counts(df: DataFrame, target: str) -> list[Column]:
+    label = col(target).try_cast("double")
+    return [F.count_if(label.isNull()).alias("bad_labels"), F.count_if(~label.isin(0.0, 1.0)).alias("other_labels")]
+
+
 def label_gate(df: DataFrame, target: str = TARGET) -> DataFrame:
     """Can a binary model be fitted: 0/1 label without gaps, numeric complete features?"""
     if target not in df.columns:
         raise GateError(f"target_present: {target}")
+    return _label_verdicts(df, target, df.agg(*_label_counts(df, target), *_null_counts(df.columns)))
+
+
+def _label_verdicts(df: DataFrame, target: str, facts: DataFrame) -> DataFrame:
     features = [c for c in df.columns if c != target]
     odd = non_numeric_columns(df.select(*[col(c) for c in features]))
-    label = col(target).try_cast("double")
-    facts = df.agg(
-        F.count_if(label.isNull()).alias("bad_labels"),
-        F.count_if(~label.isin(0.0, 1.0)).alias("other_labels"),
-        *[F.count_if(col(c).isNull()).alias(f"n{i}") for i, c in enumerate(features)],
-    )
-    nulls = sum((F.col(f"n{i}") for i in range(len(features))), F.lit(0).cast("long"))
+    nulls = sum((F.col(f"n{i}") for i, c in enumerate(df.columns) if c != target), F.lit(0).cast("long"))
     return _verdicts(facts, [
         ("label_complete", F.col("bad_labels") == 0, F.col("bad_labels")),
         ("label_binary", F.col("other_labels") == 0, F.col("other_labels")),
@@ -105,6 +108,43 @@ def label_gate(df: DataFrame, target: str = TARGET) -> DataFrame:
     ])
 
 
+class Watch:
+    """The facts of the gates, counted while a table is written.
+
+    ``df`` is the table to write. Once a write of it has ended, the gates and the counts of
+    negative values are there without another read.
+    """
+
+    def __init__(self, df: DataFrame, target: str = TARGET, leave_out: Sequence[str] = (), negatives: Sequence[str] = ()):
+        if target not in df.columns:
+            raise GateError(f"target_present: {target}")
+        self._shown = df.select(*[col(c) for c in df.columns if c not in leave_out])
+        self._target, self._negatives = target, [c for c in negatives if c in df.columns]
+        self._seen = Observation()
+        self.df = df.observe(
+            self._seen, F.count(F.lit(1)).alias("rows"), *_null_counts(self._shown.columns), *_label_counts(df, target),
+            *[F.count_if(col(c) < 0).alias(f"m{i}") for i, c in enumerate(self._negatives)])
+
+    def _facts(self) -> DataFrame:
+        """One row of counts; waits for the write."""
+        counts = self._seen.get
+        return self._shown.sparkSession.createDataFrame([tuple(counts.values())], ", ".join(f"{k} bigint" for k in counts))
+
+    def rows(self) -> int:
+        return self._seen.get["rows"]
+
+    def final_gate(self) -> DataFrame:
+        return _final_verdicts(self._shown, self._target, self._facts())
+
+    def label_gate(self) -> DataFrame:
+        return _label_verdicts(self._shown, self._target, self._facts())
+
+    def negative_counts(self) -> DataFrame:
+        """Number of negative values per watched column."""
+        return self._facts().select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("negatives")) for i, c in enumerate(self._negatives)])))
+
+
 def signature_gate(df: DataFrame, expected: Sequence[str]) -> DataFrame:
     """Does a frame to be scored carry exactly the features the model was fitted on?"""
     missing = absent_columns(df, expected)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerlens.contract import EXPERIMENT_NAME, LEDGER_METRICS, REGISTERED_MODEL_NAME, TARGET
+from offerlens.sources.files import create_if_absent
 
 UNKNOWN = "unknown"
 TRAINING_FACTS = ("rows", "columns", "n_features", "models_trained")
@@ -68,12 +71,27 @@ def next_version(ledger: DataFrame, name: str = REGISTERED_MODEL_NAME) -> Column
     return F.coalesce(known.agg(F.max("version")).scalar(), F.lit(0)) + 1
 
 
+def claim_version(spark: SparkSession, path: str, name: str = REGISTERED_MODEL_NAME, known: int = 0) -> int:
+    """The next version of ``name``, claimed by a file under ``path`` that only one writer can create.
+
+    ``known`` is the highest version seen. Who finds a version taken tries the next one, so
+    registrations at once get versions of their own. A version whose writer fails stays unused.
+    """
+    version = known + 1
+    while not create_if_absent(spark, f"{path.rstrip('/')}/{quote(name, safe='')}/{version}"):
+        version += 1
+    return version
+
+
 def run_row(
     metrics: DataFrame, run_id: str, ledger: DataFrame | None = None, name: str = REGISTERED_MODEL_NAME,
-    experiment: str = EXPERIMENT_NAME, best_model: str | None = None, model_path: str | None = None,
+    experiment: str = EXPERIMENT_NAME, best_model: str | None = None, model_path: str | None = None, claimed: int | None = None,
 ) -> DataFrame:
-    """The registration record of one run: identity, time, version and main metrics."""
-    version = next_version(ledger, name) if ledger is not None else F.lit(1)
+    """The registration record of one run: identity, time, version and main metrics.
+
+    A ``claimed`` version holds among several writers; without one the version is the next of ``ledger``.
+    """
+    version = F.lit(claimed) if claimed is not None else next_version(ledger, name) if ledger is not None else F.lit(1)
     values = {m: F.max(F.when(F.col("metric") == m, F.col("value").try_cast("double"))) for m in RUN_METRICS}
     return metrics.agg(*[v.alias(m) for m, v in values.items()]).select(
         F.lit(run_id).alias("run_id"),
@@ -88,4 +106,10 @@ def run_row(
 
 
 def append_run(row: DataFrame, path: str) -> None:
-    row.write.mode("append").parquet(path)
+    """Add rows in a folder of their own, as appends at once to one folder disturb each other."""
+    row.write.parquet(f"{path.rstrip('/')}/append=u-{uuid.uuid4().hex}")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """All rows that were added to a table of the ledger."""
+    return spark.read.parquet(path).drop("append")

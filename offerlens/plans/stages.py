@@ -8,6 +8,7 @@ Spark, so stages may run in separate applications.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -102,14 +103,15 @@ def build_features(spark: SparkSession, run: str, spec: FeatureSpec = FeatureSpe
         model = FeatureBuilder.of(spec).fit(raw)
     model.write().overwrite().save(_at(run, "feature_builder"))
     kept = [CUSTOMER, "split"] if fit_on == "train" else [CUSTOMER]
-    features = _write(model.keeping(CUSTOMER).transform(raw), run, "features")
+    watch = G.Watch(model.keeping(CUSTOMER).transform(raw), spec.target, kept, spec.floor_at_zero)
+    features = _write(watch.df, run, "features")
     shown = features.drop(*kept)
-    G.enforce(G.final_gate(shown, spec.target))
+    G.enforce(watch.final_gate())
+    G.enforce(watch.label_gate())
     files.write_document(model.imputations(spark), _at(run, "imputations"))
     files.write_document(spark.createDataFrame([(json.dumps(model.record(shown, _at(run, "raw"))),)], "record string"),
                          _at(run, "feature_record"))
     split = features if fit_on == "train" else stratified_split(features, KEY, spec.target, seed=spec.seed)
-    G.enforce(G.label_gate(split.drop("split"), spec.target))
     split.write.mode("overwrite").partitionBy("split").parquet(_at(run, "split"))
     return spark.read.parquet(_at(run, "split"))
 
@@ -139,30 +141,44 @@ def train(spark: SparkSession, run: str, specs: Sequence[ModelSpec] = MODEL_SPEC
     return done
 
 
-def _upsert(spark: SparkSession, run: str, new: DataFrame) -> DataFrame:
-    """Merge metrics into those of the run; the newest version of the table counts."""
-    versions = _metric_versions(spark, run)
-    table = merge_metrics(versions[-1], new) if versions else new
-    path = _at(run, f"metrics/version={len(versions)}")
-    table.coalesce(1).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _upsert(spark: SparkSession, run: str, new: DataFrame, patience: float = 60.0) -> DataFrame:
+    """Merge metrics into those of the run, as the next version of their table.
 
-
-def _metric_versions(spark: SparkSession, run: str) -> list[DataFrame]:
-    """All written versions, oldest first; an overwrite in place could lose the table midway."""
-    versions = []
+    A version is claimed before it is written. Who finds it claimed waits until it is
+    there and merges into that one; a claim without a table after ``patience`` seconds is passed over.
+    """
+    waited, skip = 0.0, 0
     while True:
-        try:
-            versions.append(spark.read.parquet(_at(run, f"metrics/version={len(versions)}")))
-        except AnalysisException:
-            return versions
+        last, table = _newest_metrics(spark, run)
+        version = last + 1 + skip
+        if files.create_if_absent(spark, _at(run, f"metric_claims/{version}")):
+            path = _at(run, f"metrics/version={version}")
+            (merge_metrics(table, new) if table is not None else new).coalesce(1).write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+        if waited >= patience:
+            waited, skip = 0.0, skip + 1
+        else:
+            time.sleep(0.25)
+            waited += 0.25
+            if _newest_metrics(spark, run)[0] > last:
+                waited, skip = 0.0, 0
+
+
+def _newest_metrics(spark: SparkSession, run: str) -> tuple[int, DataFrame | None]:
+    """The highest written version of the metrics and its table; -1 without any."""
+    try:
+        found = spark.read.schema(f"{METRIC_SHAPE}, version int").parquet(_at(run, "metrics"))
+    except AnalysisException:
+        return -1, None
+    last = found.agg(F.max("version")).first()[0]
+    return (-1, None) if last is None else (last, spark.read.schema(METRIC_SHAPE).parquet(_at(run, f"metrics/version={last}")))
 
 
 def metrics(spark: SparkSession, run: str) -> DataFrame:
-    versions = _metric_versions(spark, run)
-    if not versions:
+    _, table = _newest_metrics(spark, run)
+    if table is None:
         raise FileNotFoundError(f"metrics not found in {run}: run the train and evaluate stages first")
-    return versions[-1]
+    return table
 
 
 def evaluate(spark: SparkSession, run: str) -> DataFrame:
@@ -195,20 +211,17 @@ def gate(spark: SparkSession, run: str) -> bool:
 
 
 def register(spark: SparkSession, run: str, ledger: str, name: str = REGISTERED_MODEL_NAME, require_gate: bool = True) -> DataFrame:
-    """Append the run to the ledger with the next version of its name."""
+    """Append the run to the ledger with the next version of its name, claimed before anything is written."""
     if require_gate and not gate(spark, run):
         raise G.GateError(f"the model misses a minimum: {GATE_MINIMUMS}")
     table = metrics(spark, run)
     run_id = uuid.uuid4().hex
-    try:
-        known = spark.read.parquet(_at(ledger, "runs"))
-    except AnalysisException:
-        known = None
+    version = L.claim_version(spark, _at(ledger, "versions"), name)
     facts = {r["metric"]: r["value"] for r in table.where(F.col("metric").isin(
         "best_model", "model_type", "selection_metric", "random_state", "test_size", "params", "n_features", "rows", "columns",
         "models_trained")).collect()}
     trained = facts.pop("models_trained", "").split(",")
-    row = L.run_row(table, run_id, known, name, best_model=facts.get("best_model"), model_path=_at(run, "model"))
+    row = L.run_row(table, run_id, name=name, claimed=version, best_model=facts.get("best_model"), model_path=_at(run, "model"))
     own = {k: json.dumps(v) if isinstance(v, (dict, list)) else str(v) for k, v in json.loads(facts.pop("params", "{}")).items()}
     pairs = [F.lit(v).alias(k) for k, v in facts.items()]
     params = F.create_map(*[F.lit(x) for pair in own.items() for x in pair]) if own else F.create_map().cast("map<string,string>")
@@ -219,10 +232,10 @@ def register(spark: SparkSession, run: str, ledger: str, name: str = REGISTERED_
     L.append_run(files.artifact_manifest(spark, run, ARTIFACTS, digest=False).withColumn("run_id", F.lit(run_id)), _at(ledger, "artifacts"))
     split = _read(spark, run, "split", "build features")
     example = split.where(F.col("split") == "test").orderBy(*KEY).limit(5).select(F.to_json(F.struct("*")).alias("row"))
-    example.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(_at(ledger, "examples"))
-    spark.read.text(_at(run, "model_signature")).withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(_at(ledger, "signatures"))
+    L.append_run(example.withColumn("run_id", F.lit(run_id)), _at(ledger, "examples"))
+    L.append_run(spark.read.text(_at(run, "model_signature")).withColumn("run_id", F.lit(run_id)), _at(ledger, "signatures"))
     L.append_run(row, _at(ledger, "runs"))
-    return spark.read.parquet(_at(ledger, "runs")).where(F.col("run_id") == run_id)
+    return L.read_ledger(spark, _at(ledger, "runs")).where(F.col("run_id") == run_id)
 
 
 def load_feature_builder(run: str) -> FeatureBuilderModel:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerlens.contract import RAW_COLUMNS, RENAMES, FeatureSpec
 from offerlens.functions.scalars import col
+from offerlens.operators.gates import Watch
 from offerlens.plans import features as B
 from offerlens.queries.inputs import KEY, KEY_SQL, builder, panel, prepared, raw, rounded
 from offerlens.queries.panel_sql import over_panel, uniform_sql
@@ -135,6 +136,39 @@ def feature_table(spark, folder) -> DataFrame:
     return rounded(builder(spark, folder).transform(raw(spark, folder)))
 
 
+def gates_in_flight(spark, folder) -> DataFrame:
+    """Verdicts and negative counts of two written tables, counted by the writes: the features, and the panel as it is."""
+    parts = []
+    for name, table, left_out in (
+        ("features", builder(spark, folder).keeping("CLIENTE").transform(raw(spark, folder)), ["CLIENTE"]), ("panel", panel(spark, folder), [])):
+        watch = Watch(table, SPEC.target, left_out, [*SPEC.floor_at_zero, "Dif_Entidades"])
+        watch.df.write.parquet(new_path(spark, "watched"))
+        counts = watch.negative_counts().select(
+            F.concat(F.lit("negative "), "column").alias("check"), (F.col("negatives") == 0).alias("passed"), F.col("negatives").cast("string").alias("detail"))
+        verdicts = watch.final_gate().unionByName(watch.label_gate()).unionByName(counts)
+        parts.append(verdicts.select(F.lit(name).alias("table"), "check", "passed", "detail"))
+    return parts[0].unionByName(parts[1])
+
+
+def _in_flight_sql() -> str:
+    def rows(name: str, source: str, columns, texts, negatives) -> str:
+        nulls = {c: f'(count(*) - count("{c}"))' for c in columns}
+        holders = "concat_ws(', ', " + ", ".join(f"CASE WHEN {n} > 0 THEN '{c}' END" for c, n in nulls.items()) + ")"
+        total = " + ".join(nulls.values())
+        inner = " + ".join(n for c, n in nulls.items() if c != SPEC.target)
+        odd = ", ".join(texts)
+        checks = [("not_empty", "count(*) > 0", "count(*)"), ("target_present", "count(*) >= 0", f"max('{SPEC.target}')"), ("no_nulls", f"{total} = 0", holders),
+                  ("no_text_columns", f"(count(*) >= 0) = {not texts}", f"max('{odd}')"), ("label_complete", f'count("{SPEC.target}") = count(*)', f"{nulls[SPEC.target]}"),
+                  ("label_binary", f'count(*) FILTER ("{SPEC.target}" NOT IN (0, 1)) = 0', f'count(*) FILTER ("{SPEC.target}" NOT IN (0, 1))'),
+                  ("features_numeric", f"(count(*) >= 0) = {not texts}", f"max('{odd}')"), ("features_complete", f"{inner} = 0", inner)]
+        checks += [(f"negative {c}", f'count(*) FILTER ("{c}" < 0) = 0', f'count(*) FILTER ("{c}" < 0)') for c in negatives]
+        return " UNION ALL ".join(
+            f"""SELECT '{name}' AS "table", '{c}' AS "check", {ok} AS passed, CAST({detail} AS VARCHAR) AS detail FROM {source}""" for c, ok, detail in checks)
+
+    return over_panel(rows("features", "features", FEATURES, [], ["Dif_Entidades"]) + " UNION ALL " + rows(
+        "panel", "panel", PANEL, [c for c, kind in PANEL.items() if kind == "string"], [*SPEC.floor_at_zero, "Dif_Entidades"]), FEATURE_CTE)
+
+
 def _feature_sql() -> str:
     cells = [f'round("{c}", 6) AS "{c}"' if ALL_LOGGED.get(c) == "double" else f'"{c}"' for c in FEATURES]
     return over_panel(f"SELECT {', '.join(cells)} FROM features", FEATURE_CTE)
@@ -149,6 +183,7 @@ QUERIES = {
     "one_hot": one_hot,
     "preprocessor_state": preprocessor_state,
     "feature_table": feature_table,
+    "gates_in_flight": gates_in_flight,
 }
 
 ORACLES = {
@@ -160,4 +195,5 @@ ORACLES = {
     "one_hot": over_panel('SELECT "MES", "CLIENTE", ' + ", ".join(f'{x} AS "{n}"' for n, x in _DUMMIES.items()) + " FROM panel"),
     "preprocessor_state": _stats_sql(),
     "feature_table": _feature_sql(),
+    "gates_in_flight": _in_flight_sql(),
 }

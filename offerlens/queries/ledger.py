@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,10 +78,24 @@ def run_ledger(spark, folder) -> DataFrame:
     for run in [r["run_id"] for r in monthly(spark, folder).select("run_id").orderBy("run_id").collect()]:
         metrics = metric_texts(spark, folder).where(F.col("run_id") == run)
         L.append_run(L.run_row(metrics, run, ledger, best_model="hash_score"), path)
-        ledger = spark.read.parquet(path)
+        ledger = L.read_ledger(spark, path)
     return ledger.select("run_id", "registered_model_name", "version", "best_model", "metrics.*")
 
 
+def claimed_versions(spark, folder) -> DataFrame:
+    """The evaluations of all months registered at once by several writers: every version is given once."""
+    path, claims = new_path(spark, "runs"), new_path(spark, "claims")
+    runs = [r["run_id"] for r in monthly(spark, folder).select("run_id").collect()]  # one per month
+
+    def register(run: str) -> None:
+        metrics = metric_texts(spark, folder).where(F.col("run_id") == run)
+        L.append_run(L.run_row(metrics, run, best_model="hash_score", claimed=L.claim_version(spark, claims)), path)
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(register, runs))
+    return L.read_ledger(spark, path).groupBy("registered_model_name", "version").agg(F.count("*").alias("runs"))
+
+
 def model_versions(spark, folder) -> DataFrame:
     """Registrations alternate between two names."""
     month = F.col(MONTH)
@@ -101,6 +117,7 @@ QUERIES = {
     "ledger_metrics": ledger_metrics,
     "ledger_params": ledger_params,
     "run_ledger": run_ledger,
+    "claimed_versions": claimed_versions,
     "model_versions": model_versions,
     "artifact_manifest": artifact_manifest,
 }
@@ -112,6 +129,8 @@ ORACLES = {
     "run_ledger": over_scored(f"""SELECT run_id, 'campaign_response_model' AS registered_model_name,
  CAST(row_number() OVER (ORDER BY run_id) AS INTEGER) AS version, 'hash_score' AS best_model, {", ".join(NAMES)}
  FROM monthly""", _MONTHLY),
+    "claimed_versions": over_scored("""SELECT 'campaign_response_model' AS registered_model_name,
+ CAST(row_number() OVER (ORDER BY run_id) AS INTEGER) AS version, 1 AS runs FROM monthly""", _MONTHLY),
     "model_versions": over_scored("""SELECT run_id, CASE WHEN "MES" % 2 = 0 THEN 'even' ELSE 'odd' END AS registered_model_name,
  printf('%d-%02d-01', "MES" // 100, "MES" % 100) AS timestamp_utc,
  CAST(row_number() OVER (PARTITION BY "MES" % 2 ORDER BY "MES") AS INTEGER) AS version FROM monthly""", _MONTHLY),

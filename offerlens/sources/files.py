@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-
+import hashlib
+import sys
+from collections.abc import Iterable, Iterator, Mapping
+from urllib.parse import quote
+
+import pandas as pd
+import pyarrow.fs as pafs
+from py4j.protocol import Py4JJavaError
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +20,12 @@ from offerlens.contract import CSV_ENCODING, CSV_SEPARATOR
 from offerlens.functions.scalars import DECIMAL_TEXT, col, null_tokens
 from offerlens.operators.columns import clean_column_names, json_rows
 
+# Task functions travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BEYOND = "__beyond_the_header"
+PIECE = 1 << 20
+STREAMED = frozenset({"file", "hdfs", "s3", "gs"})  # file systems that tasks can open themselves
 
 
 def existing(spark: SparkSession, path: str, what: str = "input", hint: str = "") -> str:
@@ -108,12 +119,61 @@ def write_document(df: DataFrame, path: str) -> None:
     json_rows(df, "value").write.mode("overwrite").text(path)
 
 
+def create_if_absent(spark: SparkSession, path: str) -> bool:
+    """Create an empty file, and say whether this call has: of several writers at once exactly one is told so.
+
+    Local files are created by the system's exclusive create, others by their file system's create without
+    overwriting, which HDFS and stores with conditional writes do in one step.
+    """
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    try:
+        if system.getUri().getScheme() == "file":
+            nio = jvm.java.nio.file
+            nio.Files.createFile(nio.Path.of(target.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.String, 0)),
+                                 spark.sparkContext._gateway.new_array(nio.attribute.FileAttribute, 0))
+        else:
+            system.create(target, False).close()
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
+
+
+def _md5_of_stream(path: str) -> str:
+    """MD5 of a file that is read in pieces, by a task."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        store, inside = pafs.LocalFileSystem(), f"/{rest.lstrip('/')}"
+    else:
+        store, inside = pafs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
+    digest = hashlib.md5()
+    with store.open_input_stream(inside) as stream:
+        while piece := stream.read(PIECE):
+            digest.update(piece)
+    return digest.hexdigest()
+
+
+def _with_digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(md5=[_md5_of_stream(p) for p in batch["path"]])
+
+
 def file_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Path, length and MD5 of the content of every file under ``path``."""
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select("path", "length", F.md5("content").alias("md5"))
-    )
+    """Path, length and MD5 of the content of every file under ``path`` that is not empty.
+
+    Files of any size are read by tasks in pieces of a megabyte. Where the tasks' reader does not know
+    the file system, Spark reads the content, which it can for files of up to 2 GB.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    schemes = {r[0] for r in listed.select(F.substring_index("path", ":", 1)).distinct().collect()}
+    if schemes <= STREAMED:
+        names = listed.select("path", "length").repartition("path")
+        return names.mapInPandas(_with_digest, "path string, length long, md5 string")
+    return listed.select("path", "length", F.md5("content").alias("md5"))
 
 
 def artifact_manifest(spark: SparkSession, path: str, wanted: Iterable[str], digest: bool = True) -> DataFrame:
@@ -125,11 +185,12 @@ def artifact_manifest(spark: SparkSession, path: str, wanted: Iterable[str], dig
     missing are left out.
     """
     name = F.substring_index(F.substring_index("path", f"{path.rstrip('/')}/", -1), "/", 1)
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    found = listed.withColumn("name", name).where(F.col("name").isin(*wanted)).groupBy("name")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    known = file_manifest(spark, path) if digest else listed
+    found = known.withColumn("name", name).where(F.col("name").isin(*wanted)).groupBy("name")
     facts = [F.count("*").alias("files"), F.sum("length").alias("bytes")]
     if digest:
-        bits = F.conv(F.substring(F.md5("content"), 1, 15), 16, 10).cast("decimal(20,0)")
+        bits = F.conv(F.substring("md5", 1, 15), 16, 10).cast("decimal(20,0)")
         facts.append(F.sum(bits).cast("string").alias("digest"))
     return found.agg(*facts)
 

@@ -1,4 +1,7 @@
+from concurrent.futures import ThreadPoolExecutor
+
 from offerlens.operators import ledger as L
+from offerlens.sources import files
 from pyspark.sql import functions as F
 
 
@@ -34,3 +37,17 @@ def test_versions_grow_per_name(spark, tmp_path):
     assert row["metrics"]["accuracy"] == 0.85 and row["metrics"]["recall"] is None
     numbered = L.model_versions(ledger.drop("version"))
     assert {r["run_id"]: r["version"] for r in numbered.collect()} == {"r1": 1, "r2": 2, "r3": 1, "r4": 3}
+
+
+def test_versions_claimed_at_once_differ(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        claimed = list(pool.map(lambda _: L.claim_version(spark, str(tmp_path / "claims"), "a b/c"), range(24)))
+    assert sorted(claimed) == list(range(1, 25))
+    assert L.claim_version(spark, str(tmp_path / "claims"), "a b/c", known=40) == 41
+    assert L.claim_version(spark, str(tmp_path / "claims"), "other") == 1
+
+
+def test_only_one_writer_creates_a_file(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        told = list(pool.map(lambda _: files.create_if_absent(spark, f"{tmp_path}/deep/er/claim"), range(32)))
+    assert told.count(True) == 1

@@ -139,3 +139,18 @@ def test_dataset_gate(spark):
         G.enforce(G.dataset_gate(six_rows(spark).limit(0)))
     with pytest.raises(G.GateError, match="several_columns"):
         G.enforce(G.dataset_gate(spark.createDataFrame([("a",)], "`MES;CLIENTE` string")))
+
+
+def test_digests_of_files_beyond_the_limit_of_whole_reads(spark, tmp_path):
+    contents = {"a.bin": b"a", "b c.bin": bytes(range(256)) * 20_000, "d%20\u00e9.bin": b"x" * (3 * (1 << 20) + 1)}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    limit = "spark.sql.sources.binaryFile.maxLength"
+    spark.conf.set(limit, "100")
+    try:
+        rows = files.file_manifest(spark, str(tmp_path)).collect()
+        whole = spark.range(1).select(files.content_md5(spark, str(tmp_path / "b c.bin"))).first()[0]
+    finally:
+        spark.conf.unset(limit)
+    assert {r["md5"]: r["length"] for r in rows} == {hashlib.md5(c).hexdigest(): len(c) for c in contents.values()}
+    assert whole == hashlib.md5(contents["b c.bin"]).hexdigest()

@@ -1,12 +1,14 @@
 """A whole run through files, from a delimited extract to the ledger."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from offerlens.contract import ModelSpec
-from offerlens.operators.gates import GateError
+from offerlens.operators import gates, profile
+from offerlens.operators.gates import GateError, Watch
 from offerlens.plans import stages as G
 from offerlens.sources import files
 from offerlens.sources.panel import staged_panel
@@ -69,6 +71,42 @@ def test_ledger_has_the_run_and_counts_versions(spark, run):
     assert names >= {"metrics", "feature_importance", "split"}
 
 
+def test_registrations_at_once_get_versions_of_their_own(spark, run):
+    path, ledger, _ = run
+    before = spark.read.parquet(f"{ledger}/runs").agg(F.max("version")).first()[0]
+    with ThreadPoolExecutor(2) as pool:
+        rows = list(pool.map(lambda _: G.register(spark, path, ledger, require_gate=False).first(), range(2)))
+    assert sorted(r["version"] for r in rows) == [before + 1, before + 2]
+    versions = [r["version"] for r in spark.read.parquet(f"{ledger}/runs").select("version").collect()]
+    assert len(versions) == len(set(versions))
+
+
+def test_metrics_of_several_writers_are_all_kept(spark, tmp_path):
+    def upsert(i):
+        G._upsert(spark, str(tmp_path), spark.createDataFrame([(f"m{i}", str(i)), ("last", str(i))], G.METRIC_SHAPE))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(upsert, range(4)))
+    assert {r["metric"] for r in G.metrics(spark, str(tmp_path)).collect()} == {"m0", "m1", "m2", "m3", "last"}
+    files.create_if_absent(spark, f"{tmp_path}/metric_claims/4")  # a writer that failed
+    G._upsert(spark, str(tmp_path), spark.createDataFrame([("late", "1")], G.METRIC_SHAPE), patience=0.5)
+    assert G.metrics(spark, str(tmp_path)).count() == 6
+
+
+def test_gates_need_no_second_read(spark, run, tmp_path):
+    """Facts of a watched write equal those of the gates that read the table."""
+    path, _, _ = run
+    raw = spark.read.parquet(f"{path}/raw")
+    watch = Watch(raw, "FLAG_VENTA", negatives=["Ahorro_Sldo_Bco_T1", "absent"])
+    watch.df.write.parquet(str(tmp_path / "t"))
+    assert watch.final_gate().collect() == gates.final_gate(raw).collect()
+    assert watch.label_gate().collect() == gates.label_gate(raw).collect()
+    assert watch.negative_counts().collect() == profile.negative_counts(raw, ["Ahorro_Sldo_Bco_T1"]).collect()
+    assert watch.rows() == 1350
+    with pytest.raises(GateError):
+        Watch(raw, "absent")
+
+
 def test_fitting_on_train_rows_only(spark, run, tmp_path):
     path, _, _ = run
     other = str(tmp_path / "run")
