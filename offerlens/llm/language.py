@@ -142,13 +142,14 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, seed: int = SEED)
     """Fit on ``labelled`` (text, lang). Rows without a label or a letter are left out.
 
     Document frequencies count every row. Weights are fitted on a sample of
-    about ``per_language`` documents of each language (all, where there are
-    fewer), chosen by a seeded hash of the text; a fifth of it sets the
+    about ``per_language`` different texts of each language (all, where there are
+    fewer), chosen by a seeded hash of the text, each once however often it is repeated; a fifth of it sets the
     temperature. That sample is all that reaches the driver, as sparse vectors
     of at most ``BUCKETS`` entries. No labelled row gives a model without languages.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(HAS_LETTER)).select("text", "lang")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    texts = rows.select("lang", F.xxhash64("text").alias("t")).distinct()
+    counts = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = tuple(sorted(counts))
     if not languages:
         return LanguageModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0)
@@ -160,7 +161,7 @@ def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, seed: int = SEED)
     share = rows.sparkSession.createDataFrame([(k, min(1.0, per_language / n)) for k, n in counts.items()], "lang string, share double")
     draw = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 40)) / float(1 << 40)
     sample = (rows.join(F.broadcast(share), "lang").withColumn("draw", draw).where("draw < share")
-              .select("lang", "text", (F.pmod(F.xxhash64(F.lit(seed + 1), "text"), F.lit(5)) == 0).alias("held"))
+              .dropDuplicates(["lang", "text"]).select("lang", "text", (F.pmod(F.xxhash64(F.lit(seed + 1), "text"), F.lit(5)) == 0).alias("held"))
               .mapInArrow(_frequencies, "lang string, held boolean, at array<int>, frequency array<float>").toArrow())
     place = {k: i for i, k in enumerate(languages)}
     values = [np.asarray(f.values.to_numpy(), float) * idf[a.values.to_numpy()] * SCALE

@@ -11,7 +11,8 @@ from offerlens.session import stage
 
 BUCKETS = 1 << 16
 PER_DOMAIN = 3000  # labelled documents of each domain in the fitted sample, about
-ROUNDS = 25
+RIDGE = 1e-8  # weight of small steps, which settles what the targets leave open
+LEAST_STEP = 1e-6
 TOLERANCE = 1e-6
 SEED = 23
 
@@ -82,43 +83,67 @@ def posteriors(docs: DataFrame, domains: list[str], weights: DataFrame) -> DataF
     return raised.select("t", "tokens", "rows", *[(F.col(f"e{i}") / total).alias(f"p{i}") for i in range(k)])
 
 
-def fitted_rates(members: DataFrame, goal: list[float], rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> Column:
-    """Nonnegative rates of the rows of ``members`` whose expected domain totals come nearest to ``goal`` shares.
+def fitted_rates(members: DataFrame, goal: list[float], tolerance: float = TOLERANCE) -> tuple[Column, float]:
+    """Nonnegative rates of the rows of ``members`` whose expected domain totals come nearest to ``goal`` shares, and the largest miss.
 
-    Minimises the squared residual of the K totals over all rates, weighted by
-    the inverse of the memberships' second moments, by projected gradient from
-    rate 1 for all. In the metric of token counts that problem has curvature 1,
-    so a full step solves it where no rate meets zero. Each round is one
-    aggregate of K sums; a rate is a chain of the rounds' steps, so no state
-    is kept between rounds.
+    Least squares of the K totals, the rates nearest to 1 among equal ones, by projected
+    gradient with lazy projection: steps add up before the projection, so a rate is always max(0, 1 + p .
+    y) for K numbers y, and no state is kept between rounds. The gradient in y is
+    the residual; a round goes along it in the metric of the second moments of the memberships
+    of rows with a rate, which is the curvature, so few rounds are needed. A step
+    that does not lower the objective enough is shortened. Rounds go on until the miss is within
+    ``tolerance``, or nothing is gained any more: then no rates reach the targets, or not within
+    the numbers' precision. Each round is one aggregate of about K * K / 2 sums.
     """
     k = len(goal)
     p = [F.col(f"p{i}") for i in range(k)]
     mass = F.col("tokens") * F.col("rows")
-    sums = members.agg(F.sum(mass).alias("all"), *[F.sum(mass * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    rate = F.lit(1.0)
-    if not sums["all"]:
-        return rate
-    total = float(sums["all"])
-    second = np.array([[sums[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)]) / total
-    inverse = np.linalg.pinv(second, rcond=1e-9)
-    for _ in range(rounds):
-        got = members.agg(*[F.sum(mass * p[i] * rate).alias(f"g{i}") for i in range(k)]).first()
-        residual = np.array(got, float) / total - np.array(goal)
-        if np.abs(residual).max() <= tolerance:
+
+    def rates(y: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), sum((x * float(v) for x, v in zip(p, y)), F.lit(1.0)))
+
+    def measured(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Objective, residual, and curvature at ``y``."""
+        rate = rates(y)
+        active = F.when(rate > 0, mass).otherwise(F.lit(0))
+        row = members.agg(F.sum(mass), F.sum(mass * rate * rate), *[F.sum(mass * x * rate) for x in p],
+                          *[F.sum(active * p[i] * p[j]) for i in range(k) for j in range(i, k)]).first()
+        if not row[0]:
+            return 0.0, np.zeros(k), np.eye(k)
+        sums = np.array(row[1:], float) / float(row[0])
+        second = np.zeros((k, k))
+        second[np.triu_indices(k)] = sums[1 + k:]
+        second += np.triu(second, 1).T + RIDGE * np.eye(k)
+        return sums[0] / 2 - y @ goal + RIDGE / 2 * (y @ y), sums[1:1 + k] - goal, second
+
+    goal, y = np.array(goal), np.zeros(k)
+    value, residual, second = measured(y)
+    while np.abs(residual).max() > tolerance:
+        gradient, size = residual + RIDGE * y, 1.0
+        step = np.linalg.solve(second, gradient)
+        while size >= LEAST_STEP:
+            tried = measured(y - size * step)
+            if tried[0] <= value - 0.25 * size * (gradient @ step):
+                break
+            size /= 4
+        else:
+            break
+        if value - tried[0] <= 1e-15 * abs(value):
             break
-        step = inverse @ residual
-        rate = F.greatest(F.lit(0.0), rate - sum((p[i] * float(step[i]) for i in range(1, k)), p[0] * float(step[0])))
-    return rate
+        y = y - size * step
+        value, residual, second = tried
+    return rates(y), float(np.abs(residual).max())
 
 
 def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], **options) -> tuple[list[str], DataFrame]:
-    """(domains, table of t, tokens, rows, p0.., rate) for the distinct texts of ``docs``.
+    """(domains, table of t, tokens, rows, p0.., rate, miss) for the distinct texts of ``docs``.
 
     ``targets`` gives the wanted share of tokens per domain; the total stays
     that of ``docs``. Shares are scaled to 1 over the domains that have labels;
     a labelled domain without a target gets 0. Without any labelled domain, or
     without a positive target, every rate is 1. A NULL text counts as empty.
+    ``miss`` is the largest difference that is left between a domain's share and its
+    target, the same in all rows: near 0 unless no rates reach the targets.
     """
     domains, weights = fit(docs, labelled, **options)
     wanted = [max(0.0, targets.get(k, 0.0)) for k in domains]
@@ -127,8 +152,10 @@ def document_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, floa
         if weights.columns == ["bucket"]:
             weights = weights.withColumn("w0", F.lit(0.0))
     members = stage(posteriors(docs, domains, weights), "members")
-    rate = fitted_rates(members, [w / sum(wanted) for w in wanted]) if wanted else F.lit(1.0)
-    return domains, stage(members.withColumn("rate", rate), "rates")
+    if not wanted:
+        return domains, stage(members.withColumns({"rate": F.lit(1.0), "miss": F.lit(None).cast("double")}), "rates")
+    rate, miss = fitted_rates(members, [w / sum(wanted) for w in wanted])
+    return domains, stage(members.withColumns({"rate": rate, "miss": F.lit(miss)}), "rates")
 
 
 def _copies(rate: Column, seed: int) -> Column:
@@ -138,11 +165,11 @@ def _copies(rate: Column, seed: int) -> Column:
 
 
 def membership(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], seed: int = SEED, **options) -> DataFrame:
-    """Per row of ``docs``: doc_id, tokens, p_<domain> ..., rate, copies. Repeated rows each have a row."""
+    """Per row of ``docs``: doc_id, tokens, p_<domain> ..., rate, copies, miss. Repeated rows each have a row."""
     domains, rates = document_rates(docs, labelled, targets, seed=seed, **options)
     keyed = docs.select(name("doc_id").cast("long").alias("doc_id"), text_key(F.coalesce(name("text"), F.lit(""))).alias("t"))
     return keyed.join(rates, "t").select(
-        "doc_id", "tokens", *[F.col(f"p{i}").alias(f"p_{k}") for i, k in enumerate(domains)], "rate", _copies(F.col("rate"), seed).alias("copies"))
+        "doc_id", "tokens", *[F.col(f"p{i}").alias(f"p_{k}") for i, k in enumerate(domains)], "rate", _copies(F.col("rate"), seed).alias("copies"), "miss")
 
 
 def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float], seed: int = SEED, **options) -> DataFrame:

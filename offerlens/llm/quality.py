@@ -113,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: in
     """Fit on ``labels`` (doc_id, label 0 or 1; one row per id) and the texts of ``docs``; NULL texts are left out.
 
     The sample has about ``per_class`` labels of each class (all, where
-    there are fewer), chosen by a seeded hash of the id. That bounds what is
+    there are fewer), chosen by a seeded hash of the id, and one text of each id, the one with the smallest hash. That bounds what is
     broadcast to find the texts, whose sparse feature counts, of ``BUCKETS``
     entries at most, reach the driver. Classes weigh in the loss as they do in
     the table. Without labels of both classes the score leans fully to the only
@@ -127,7 +127,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, seed: in
     shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_class / n))])
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40)) / float(1 << 40)
     sample = F.broadcast(rows.where(draw < F.element_at(shares, F.col("label"))))
-    sample = (id_and_text(docs).where("text is not null").join(sample, "doc_id").select("text", "label")
+    # An id of many rows gives one text, so the rows are bounded as the labels are.
+    found = id_and_text(docs).where("text is not null").join(sample, "doc_id").groupBy("doc_id", "label").agg(
+        F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text"))
+    sample = (found.select("text", "label")
               .mapInArrow(_counts, "label int, at array<int>, share array<float>").toArrow())
     data = [(k.as_py(), a.values.to_numpy(), np.asarray(s.values.to_numpy(), float))
             for k, a, s in zip(sample["label"], sample["at"], sample["share"])]

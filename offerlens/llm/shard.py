@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from offerlens.llm.common import fresh, name, without
 from offerlens.session import new_path, stage
 
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 SEED = 11
 
 
@@ -61,14 +61,14 @@ def write_shards(docs: DataFrame, shards: int, path: str, seed: int = SEED, buck
         *[name(c).alias(p) for c, p in zip(columns, plain)], bucket, part, first, F.xxhash64(F.lit(seed), *[_hashable(source, c) for c in source.columns]).alias(order))
 
     def shuffled(group: pa.Table) -> pa.Table:
-        group = group.take(pc.sort_indices(group, sort_keys=[(order, "ascending")]))
         at = group.num_columns - 4
+        by_hash = pc.sort_indices(group, sort_keys=[(order, "ascending")])
         draw = np.random.default_rng([seed, group.column(at)[0].as_py(), group.column(at + 1)[0].as_py()])
         swapped = np.arange(group.num_rows)
         draw.shuffle(swapped)  # Fisher-Yates
         start = group.column(at + 2)[0].as_py()
         return pa.Table.from_arrays(
-            [*group.select(range(at)).take(pa.array(swapped)).columns, pa.array(np.arange(start, start + group.num_rows))],
+            [*group.select(range(at)).take(by_hash.take(pa.array(swapped))).columns, pa.array(np.arange(start, start + group.num_rows))],
             names=[*group.column_names[:at], rank])
 
     schema = placed.select(*plain).schema.add(rank, "long")
