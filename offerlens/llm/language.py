@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerlens.llm.common import checksum, fresh, name, slices
+from offerlens.llm.common import checksum, name, ranges, slices
 from offerlens.llm.words import U, code_points, mix, worker_state
 
 HAS_LETTER = r"\p{L}"
@@ -20,6 +21,7 @@ ORDERS = (1, 2, 3)
 SCALE = 30.0  # brings relative frequencies to the size the learning rate expects
 PER_LANGUAGE = 1200  # documents per language in the fitted sample, about
 SEED = 17
+LEAST_CHARS = 2048  # what a short text counts in a slice of texts, as it takes a row of bucket flags
 
 
 @dataclass(frozen=True)
@@ -60,9 +62,9 @@ def _documents_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     seen = np.zeros(BUCKETS, np.int64)
     n = 0
     for batch in batches:
-        texts = batch.column("text").to_pylist()
-        for lo, hi in slices(texts, 1 << 18):
-            orders, limits = ngram_buckets(texts[lo:hi])
+        sizes = pc.binary_length(batch.column("text")).to_numpy() + LEAST_CHARS
+        for lo, hi in ranges(sizes.tolist(), 1 << 18):
+            orders, limits = ngram_buckets(batch.column("text").slice(lo, hi - lo).to_pylist())
             owner = np.repeat(np.arange(hi - lo) * BUCKETS, np.diff(limits))
             present = np.zeros((hi - lo) * BUCKETS, bool)
             for buckets in orders:
@@ -195,23 +197,25 @@ def predict(docs: DataFrame, model: LanguageModel, text_column: str = "text") ->
     A NULL text, one without a letter, or a model without languages gives
     ``und`` with score 0. The row order and all other columns stay.
     """
-    text = fresh(docs, "_text")
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     plain = [f"_c{i}" for i in range(len(kept))]  # Arrow functions take no dots in names
-    source = docs.select(*[name(c).alias(p) for c, p in zip(kept, plain)], F.when(name(text_column).rlike(HAS_LETTER), name(text_column)).alias(text))
+    lowered = [c.lower() for c in kept]
+    own = text_column.lower() not in lowered  # the text has one of the two names and travels beside the kept columns
+    at = len(kept) if own else lowered.index(text_column.lower())
+    extra = [name(text_column).alias("_text")] if own else []
+    known = F.coalesce(name(text_column).rlike(HAS_LETTER), F.lit(False)).alias("_known")
+    source = docs.select(*[name(c).alias(p) for c, p in zip(kept, plain)], *extra, known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            languages, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            known = [i for i, t in enumerate(texts) if t is not None] if model.languages else []
-            if known:
-                p = probabilities(model, [texts[i] for i in known])
-                scores[known] = p.max(axis=1)
-                for i, k in zip(known, p.argmax(axis=1)):
-                    languages[i] = model.languages[k]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(languages), pa.array(scores)], names=[*batch.schema.names[:-1], "lang_pred", "score"])
+            languages, scores = np.full(batch.num_rows, len(model.languages)), np.zeros(batch.num_rows)
+            rows = np.flatnonzero(batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)) if model.languages else []
+            texts = batch.column(at) if len(rows) == batch.num_rows else batch.column(at).take(pa.array(rows, pa.int64()))
+            for lo, hi in ranges(pc.binary_length(texts).to_pylist(), 1 << 20):
+                p = probabilities(model, texts.slice(lo, hi - lo).to_pylist())
+                scores[rows[lo:hi]], languages[rows[lo:hi]] = p.max(axis=1), p.argmax(axis=1)
+            found = pa.array([*model.languages, UNKNOWN], pa.string()).take(pa.array(languages))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], found, pa.array(scores)], names=[*batch.schema.names[:len(kept)], "lang_pred", "score"])
 
     schema = source.select(*plain).schema.add("lang_pred", "string").add("score", "double")
     return source.mapInArrow(run, schema).select(*[name(p).alias(c) for c, p in zip(kept, plain)], "lang_pred", "score")
