@@ -112,7 +112,9 @@ class Watch:
     """The facts of the gates, counted while a table is written.
 
     ``df`` is the table to write. Once a write of it has ended, the gates and the counts of
-    negative values are there without another read.
+    negative values are there without another read. Read the table in a session of its own
+    (``spark.newSession()``): one that has observed can no longer be shipped to tasks,
+    as models do that are broadcast with their training summary.
     """
 
     def __init__(self, df: DataFrame, target: str = TARGET, leave_out: Sequence[str] = (), negatives: Sequence[str] = ()):

@@ -103,8 +103,11 @@ def build_features(spark: SparkSession, run: str, spec: FeatureSpec = FeatureSpe
         model = FeatureBuilder.of(spec).fit(raw)
     model.write().overwrite().save(_at(run, "feature_builder"))
     kept = [CUSTOMER, "split"] if fit_on == "train" else [CUSTOMER]
-    watch = G.Watch(model.keeping(CUSTOMER).transform(raw), spec.target, kept, spec.floor_at_zero)
-    features = _write(watch.df, run, "features")
+    # Observed in a session of its own: Spark cannot ship a session that has observed to tasks, which forests do.
+    source = _read(spark.newSession(), run, "raw_split" if fit_on == "train" else "raw", "ingest")
+    watch = G.Watch(model.keeping(CUSTOMER).transform(source), spec.target, kept, spec.floor_at_zero)
+    _write(watch.df, run, "features")
+    features = _read(spark, run, "features", "build features")
     shown = features.drop(*kept)
     G.enforce(watch.final_gate())
     G.enforce(watch.label_gate())

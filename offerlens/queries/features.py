@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from offerlens.contract import RAW_COLUMNS, RENAMES, FeatureSpec
 from offerlens.functions.scalars import col
+from offerlens.operators.columns import rename_columns
 from offerlens.operators.gates import Watch
 from offerlens.plans import features as B
 from offerlens.queries.inputs import KEY, KEY_SQL, builder, panel, prepared, raw, rounded
@@ -139,8 +140,10 @@ def feature_table(spark, folder) -> DataFrame:
 def gates_in_flight(spark, folder) -> DataFrame:
     """Verdicts and negative counts of two written tables, counted by the writes: the features, and the panel as it is."""
     parts = []
+    staged = raw(spark, folder)
+    source = spark.newSession().read.schema(staged.schema).parquet(*staged.inputFiles())  # see Watch
     for name, table, left_out in (
-        ("features", builder(spark, folder).keeping("CLIENTE").transform(raw(spark, folder)), ["CLIENTE"]), ("panel", panel(spark, folder), [])):
+        ("features", builder(spark, folder).keeping("CLIENTE").transform(source), ["CLIENTE"]), ("panel", rename_columns(source), [])):
         watch = Watch(table, SPEC.target, left_out, [*SPEC.floor_at_zero, "Dif_Entidades"])
         watch.df.write.parquet(new_path(spark, "watched"))
         counts = watch.negative_counts().select(

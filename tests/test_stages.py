@@ -96,7 +96,7 @@ def test_metrics_of_several_writers_are_all_kept(spark, tmp_path):
 def test_gates_need_no_second_read(spark, run, tmp_path):
     """Facts of a watched write equal those of the gates that read the table."""
     path, _, _ = run
-    raw = spark.read.parquet(f"{path}/raw")
+    raw = spark.newSession().read.parquet(f"{path}/raw")
     watch = Watch(raw, "FLAG_VENTA", negatives=["Ahorro_Sldo_Bco_T1", "absent"])
     watch.df.write.parquet(str(tmp_path / "t"))
     assert watch.final_gate().collect() == gates.final_gate(raw).collect()
