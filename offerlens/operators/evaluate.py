@@ -160,9 +160,13 @@ def roc_curve(
 
 
 def score_histogram(scored: DataFrame, bins: int = N_BINS) -> DataFrame:
-    """Rows per class in equal bins over that class's own score range; empty bins are kept."""
-    counts = scored.groupBy("label", col("score").cast("double").alias("score")).agg(F.count("*").alias("n"))
-    # At most two rows: a gate on the label precedes this.
+    """Rows per class in equal bins over that class's own score range; empty bins are kept.
+
+    A missing or infinite score is an error. Rows of other labels than 0 and 1 have no class.
+    """
+    classes = F.array(*[F.struct(F.lit(k).alias("label"), F.col(c).alias("n")) for k, c in ((0, "neg"), (1, "pos"))])
+    counts = score_counts(scored).select("score", F.inline(classes)).where("n > 0")
+    # Two rows at most, so the join is a broadcast.
     span = counts.groupBy("label").agg(F.min("score").alias("lo"), F.max("score").alias("hi")).select(
         "label",
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -170,7 +174,7 @@ def score_histogram(scored: DataFrame, bins: int = N_BINS) -> DataFrame:
     )
     place = F.floor((F.col("score") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins) + 1
     filled = (
-        counts.join(span, "label")
+        counts.join(F.broadcast(span), "label")
         .groupBy("label", F.least(place, F.lit(bins)).cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     )
     edges = span.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))

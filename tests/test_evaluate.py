@@ -164,3 +164,12 @@ def test_report_lists_every_setting(spark):
     assert rows["setup", "model"] == "Tree" and rows["confusion_matrix", "tp"] == "4"
     assert rows["metrics", "accuracy"] == "0.7500" and rows["minimums", "f1"] == "0.6000"
     assert record.first()["confusion_matrix"] == [[5, 1], [2, 4]]
+
+
+def test_histogram_takes_no_bad_score_and_shuffles_no_scores_to_classes(spark):
+    table = spark.createDataFrame([(0, 0.1), (1, 0.7), (1, 0.9), (0, 0.4)], "label int, score double")
+    plan = E.score_histogram(table)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert E.score_histogram(table).agg(F.sum("count")).first()[0] == 4
+    with pytest.raises(Exception, match="not finite"):
+        E.score_histogram(table.unionByName(spark.createDataFrame([(1, float("nan"))], "label int, score double"))).collect()
