@@ -1,4 +1,4 @@
-"""Benchmark decontamination with seeds that hit every overlap, in DataFrame operations only."""
+"""Benchmark decontamination by spaced seeds that hit every overlap, in DataFrame operations only."""
 
 from __future__ import annotations
 
@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from offerlens.llm.common import fresh, name, text_key
 from offerlens.session import stage
 
-# The windows by which the SQL finds candidates: it compares the marked words and ignores the others.
-MASKS = ("110110111", "111011011")
-SPAN = len(MASKS[0])
 LEAST_WORDS = 12  # an overlap has this many words at least, or the whole item where it is shorter
 SIMILARITY = 0.8
+FILTER_BITS = 21  # seeds of documents pass a broadcast set of at most 2^21 slots, whatever the benchmark's size
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -23,41 +21,48 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != "")
 
 
-def _run(n: int, similarity: float) -> int:
-    """Words in a row without a substitution that ``n`` words of the similarity have at least."""
-    changed = math.floor(n * (1 - similarity) + 1e-9)
-    return math.ceil((n - changed) / (changed + 1))
+def masks(n: int, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY) -> tuple[tuple[int, int], ...]:
+    """Masks (width, gap) of which one at least hits every overlap with an item of ``n`` words.
 
-
-def masks(n: int, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY) -> tuple[str, ...]:
-    """Masks of which one at least hits every overlap with an item of ``n`` words.
-
-    A mask reads the words marked 1. A long overlap has one of fewer than
-    twice ``least_words`` words in it that is as similar, as one of its halves
-    is; a shorter item is overlapped whole. So unchanged runs of four words
-    hit all but three changes in 15 words that leave four runs of three, and
-    the second mask hits those.
+    A mask reads two blocks of ``width`` words and ignores the ``gap`` words
+    between them. Of ``c + 2`` blocks side by side, ``c`` changed words leave
+    two unchanged, so the gaps of 0 to ``c`` blocks hit every layout. A long
+    overlap has one of fewer than twice ``least_words`` words in it that is as
+    similar, as one of its halves is; a shorter item is overlapped whole. Where
+    there is no room for two blocks, one is read (its gap is ``-width``).
     """
-    if n < least_words:
-        return ("1" * _run(n, similarity),)
-    if least_words >= LEAST_WORDS and similarity >= SIMILARITY:
-        return "1111", "1110111"
-    return ("1" * min(_run(k, similarity) for k in range(least_words, 2 * least_words)),)
+    sizes = (n,) if n < least_words else range(least_words, 2 * least_words)
+    changes = {k: math.floor(k * (1 - similarity) + 1e-9) for k in sizes}
+    width = min(k // (c + 2) for k, c in changes.items())
+    if not width:
+        width = min(k // (c + 1) for k, c in changes.items())
+        return ((width, -width),)
+    return tuple((width, width * d) for d in range(max(changes.values()) + 1))
 
 
-def seeds(tokens: str, taken: dict[str, Column]) -> Column:
-    """(at, hash) of every window of the words under the masks whose condition holds.
+def seeds(rows: DataFrame, tokens: str, taken: dict[tuple[int, int], Column]) -> DataFrame:
+    """The other columns of ``rows`` with (at, hash) of every window of its words under the masks whose condition holds.
 
-    The hash covers the mask and its marked words.
+    The hash covers the mask and the words it reads. Words are hashed once,
+    then blocks of words, then pairs of blocks, one row a window.
     """
-    def at(mask: str) -> Column:
-        marked = [j for j, bit in enumerate(mask) if bit == "1"]
-        starts = F.when(taken[mask] & (F.size(tokens) >= len(mask)),
-                        F.sequence(F.lit(0), F.greatest(F.size(tokens) - len(mask), F.lit(0)))).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.struct(
-            i.alias("at"), F.xxhash64(F.lit(mask), *[F.get(F.col(tokens), i + j) for j in marked]).alias("hash")))
+    keys = [c for c in rows.columns if c != tokens]
+    hashed = rows.withColumn(tokens, F.transform(tokens, lambda w: F.xxhash64(w)))
+    widths = sorted({width for width, _ in taken})
+
+    def blocks(width: int) -> Column:
+        all_places = F.transform(tokens, lambda h, i: F.xxhash64(h, *[F.get(F.col(tokens), i + j) for j in range(1, width)]))
+        return F.slice(all_places, 1, F.greatest(F.size(tokens) - (width - 1), F.lit(0)))
 
-    return F.concat(*[at(m) for m in taken])
+    cut = hashed.select(*keys, *[blocks(width).alias(f"_{width}") for width in widths])
+    parts = [F.col(f"_{width}").alias(f"_{width}") for width in widths]
+    parts += [F.slice(f"_{width}", 1 + width + gap, F.size(f"_{width}")).alias(f"_{width}_{m}") for m, (width, gap) in enumerate(taken)]
+    windows = cut.select(*keys, F.posexplode(F.arrays_zip(*parts)).alias("at", "_w")).select(*keys, "at", "_w.*")
+    hashes = [
+        F.when(condition & F.col(f"_{width}").isNotNull() & F.col(f"_{width}_{m}").isNotNull(),
+               F.xxhash64(F.lit(width), F.lit(gap), f"_{width}", f"_{width}_{m}"))
+        for m, ((width, gap), condition) in enumerate(taken.items())]
+    return windows.select(*keys, "at", F.explode(F.array(*hashes)).alias("hash")).where("hash is not null")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -72,7 +77,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     0.8, four times the mismatches. So substitutions are tolerated wherever
     they stand, and parts of an item are found; the seeds hit every overlap
     that counts. Equal texts are judged once. Items without a word never match;
-    items with equal words are each reported.
+    items with equal words are each reported. Texts of any length are read whole,
+    and no other column of either table is looked at, whatever its name.
     """
     raw = docs.select(text_key().alias("t"), name("text").alias("text")).where("text is not null")
     texts = raw.select("t", words(F.col("text")).alias("w")).where(F.size("w") > 0)
@@ -81,16 +87,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WOR
     known = items.select(F.xxhash64("iw").alias("item"), "iw")
     # Sizes below least_words, and least_words for all others: a few numbers.
     size = F.least(F.size("iw"), F.lit(least_words))
-    users: dict[str, list[int]] = {}
+    users: dict[tuple[int, int], list[int]] = {}
     for n in sorted({least_words, *(r["n"] for r in items.select(size.alias("n")).distinct().collect())}):
         for mask in masks(n, least_words, similarity):
             users.setdefault(mask, []).append(n)
-    probes = known.select("item", F.explode(seeds("iw", {m: size.isin(of) for m, of in users.items()})).alias("s")).select(
-        F.col("s.hash").alias("hash"), F.col("s.at").alias("item_at"), "item")
-    probes = stage(probes.distinct(), "item-seeds")
-    hits = (texts.select("t", F.explode(seeds("w", {m: F.lit(True) for m in users})).alias("s"))
-            .select("t", F.col("s.hash").alias("hash"), F.col("s.at").alias("at"))
-            .join(probes, "hash").select("t", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct())
+    probes = seeds(known.withColumn("n", F.least(F.size("iw"), F.lit(least_words))), "iw",
+                   {m: F.col("n").isin(of) for m, of in users.items()})
+    probes = stage(probes.select("hash", F.col("at").alias("item_at"), "item").distinct(), "item-seeds")
+    slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("slot")
+    slots = F.broadcast(probes.select(slot).distinct())
+    asked = seeds(texts, "w", {m: F.lit(True) for m in users}).select("*", slot).join(slots, "slot", "left_semi")
+    hits = asked.join(probes, "hash").select(
+        "t", "item", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     hits = stage(hits, "hits")
     found = raw.join(hits.select("t").distinct(), "t", "left_semi").dropDuplicates(["t"]).select("t", words(F.col("text")).alias("w"))
     pairs = hits.join(found, "t").join(items.withColumn("item", F.xxhash64("iw")), "item")

@@ -7,47 +7,33 @@ from offerlens.llm import decontaminate, fingerprint, passages, phrases
 _WORDS = "list_filter(regexp_split_to_array(lower({text}), '[^\\pL\\pN]+'), lambda w: w <> '')"
 
 
-def _masked(words: str, at: str) -> str:
-    """Strings of the marked words of every mask, with the mask's number."""
-    return "[" + ", ".join(
-        "concat_ws(' ', " + ", ".join([f"'{m}'"] + [f"{words}[{at} + {j + 1}]" for j, bit in enumerate(mask) if bit == "1"]) + ")"
-        for m, mask in enumerate(decontaminate.MASKS)) + "]"
-
-
 def decontamination() -> str:
-    span, least, similarity = decontaminate.SPAN, decontaminate.LEAST_WORDS, decontaminate.SIMILARITY
+    """Every diagonal with enough equal words for an overlap, and on it every stretch that is long and similar enough."""
+    least, similarity = decontaminate.LEAST_WORDS, decontaminate.SIMILARITY
     return f"""
 WITH texts AS (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL),
 tw AS (SELECT md5(text) AS t, {_WORDS.format(text='text')} AS w FROM texts),
 items AS (SELECT DISTINCT item_id, {_WORDS.format(text='text')} AS iw FROM benchmark),
-tp AS (SELECT t, w, unnest(range(0, len(w) - {span - 1})) AS p FROM tw WHERE len(w) >= {span}),
-ip AS (SELECT iw, unnest(range(0, len(iw) - {span - 1})) AS q FROM (SELECT DISTINCT iw FROM items) WHERE len(iw) >= {span}),
-ts AS (SELECT t, p, unnest({_masked('w', 'p')}) AS s FROM tp),
-sq AS (SELECT iw, q, unnest({_masked('iw', 'q')}) AS s FROM ip),
-small AS (SELECT DISTINCT iw, len(iw) AS n FROM items WHERE len(iw) BETWEEN 1 AND {span - 1}),
-places AS (SELECT t, w, unnest(range(0, len(w))) AS p FROM tw WHERE EXISTS (SELECT 1 FROM small)),
-hits AS (
-  SELECT DISTINCT t, iw, p - q AS g FROM ts JOIN sq USING (s)
-  UNION SELECT t, iw, p FROM places JOIN small ON w[p + 1:p + n] = iw),
-pairs AS (
-  SELECT t, w, iw, g, greatest(0, -g) AS lo, least(len(iw), len(w) - g) AS hi FROM hits JOIN tw USING (t)),
-cells AS (SELECT t, iw, g, lo, unnest(range(lo, hi)) AS q, w FROM pairs),
-same AS (SELECT t, iw, g, lo, q - lo AS i, (iw[q + 1] = w[q + g + 1])::INT AS hit FROM cells),
+known AS (SELECT DISTINCT iw, least({least}, len(iw)) AS n FROM items WHERE len(iw) > 0),
+tp AS (SELECT t, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM tw),
+ip AS (SELECT iw, n, generate_subscripts(iw, 1) AS q, unnest(iw) AS word FROM known),
+diagonals AS (SELECT t, iw, n, p - q AS g FROM tp JOIN ip USING (word) GROUP BY ALL HAVING count(*) >= n * {similarity}),
+cells AS (SELECT t, iw, n, g, w, greatest(0, -g) AS lo, unnest(range(greatest(0, -g), least(len(iw), len(w) - g))) AS q
+  FROM diagonals JOIN tw USING (t)),
+same AS (SELECT t, iw, n, g, lo, q - lo AS i, (iw[q + 1] = w[q + g + 1])::INT AS hit FROM cells),
 sums AS (
   SELECT *, sum(CASE WHEN hit = 1 THEN 1 ELSE -4 END) OVER o AS gain, sum(hit) OVER o AS hits
   FROM same WINDOW o AS (PARTITION BY t, iw, g ORDER BY i)),
-bounds AS (SELECT t, iw, g, lo, i + 1 AS i, gain, hits FROM sums
-  UNION ALL SELECT DISTINCT t, iw, g, lo, 0, 0, 0 FROM same),
+bounds AS (SELECT t, iw, n, g, lo, i + 1 AS i, gain, hits FROM sums
+  UNION ALL SELECT DISTINCT t, iw, n, g, lo, 0, 0, 0 FROM same),
 stretches AS (
   SELECT a.t, a.iw, a.g, a.lo, a.i AS b, e.i AS e, e.gain - a.gain AS gain, e.hits - a.hits AS matched
-  FROM bounds a JOIN bounds e ON a.t = e.t AND a.iw = e.iw AND a.g = e.g AND a.i < e.i WHERE e.gain > a.gain),
+  FROM bounds a JOIN bounds e ON a.t = e.t AND a.iw = e.iw AND a.g = e.g AND e.i - a.i >= a.n AND e.gain >= a.gain),
 best AS (
-  SELECT *, row_number() OVER (PARTITION BY t, iw, g ORDER BY gain DESC, e, b DESC) AS rn FROM stretches),
-good AS (
-  SELECT t, iw, lo + g + b AS start, e - b AS words, matched FROM best
-  WHERE rn = 1 AND e - b >= least({least}, len(iw)) AND matched >= (e - b) * {similarity}),
+  SELECT t, iw, lo + g + b AS start, e - b AS words, matched FROM stretches
+  QUALIFY row_number() OVER (PARTITION BY t, iw, g ORDER BY gain DESC, e, b DESC) = 1),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY t, iw ORDER BY matched DESC, words, start) AS rn FROM good)
+  SELECT *, row_number() OVER (PARTITION BY t, iw ORDER BY matched DESC, words, start) AS rn FROM best)
 SELECT doc_id, item_id, start::INT AS start, words::INT AS words, matched::INT AS matched
 FROM documents JOIN ranked ON md5(text) = t JOIN items USING (iw) WHERE rn = 1"""
 
