@@ -114,6 +114,46 @@ def read_document(spark: SparkSession, path: str, schema: T.StructType | str) ->
         return spark.createDataFrame([], schema)
 
 
+def read_variants(spark: SparkSession, path: str) -> DataFrame:
+    """Documents whose fields differ, one VARIANT ``document`` per JSON line of ``path`` or its subfolders; a missing path gives no rows.
+
+    Numbers keep their digits and fields need no common schema. A line that is not JSON is an error.
+    """
+    try:
+        lines = spark.read.option("recursiveFileLookup", True).text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "value string")
+    return lines.where(F.trim("value") != "").select(F.parse_json("value").alias("document"))
+
+
+def variant_fields(df: DataFrame, column: str = "document", depth: int = 3) -> DataFrame:
+    """The other columns with (field, value): a row per leaf of each document, ``field`` its path joined by dots.
+
+    Members of a list are named by their position. A ``null`` has a row with a NULL value; an empty
+    object or list, and what is nested deeper than ``depth``, has one with its JSON text. A document
+    that is no object or list has no name and no row.
+    """
+    spark = df.sparkSession
+    others = [c for c in df.columns if c != column]
+    keep = [col(c) for c in others]
+    level = df.select(F.struct(*keep).alias("_k"), F.lit("").alias("_path"), col(column).alias("_v"))
+    leaves = []
+    for at in range(depth):
+        members = level.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(
+            "_k", F.concat_ws(".", F.nullif("_path", F.lit("")), F.coalesce("key", F.col("pos").cast("string"))).alias("_path"), F.col("value").alias("_v"))
+        nested = F.schema_of_variant("_v").rlike("^(OBJECT<.|ARRAY<)") & ~F.to_json("_v").isin("[]", "{}")
+        last = at == depth - 1
+        leaves.append(members if last else members.where(~F.coalesce(nested, F.lit(False))))
+        level = members.where(nested)
+    found = leaves[0]
+    for more in leaves[1:]:
+        found = found.unionByName(more)
+    return found.select(*[F.col("_k").getField(c).alias(c) for c in others], F.col("_path").alias("field"),
+                        F.variant_get("_v", "$", "string").alias("value"))
+
+
 def write_document(df: DataFrame, path: str) -> None:
     """Rows as JSON lines with missing values written as ``null``."""
     json_rows(df, "value").write.mode("overwrite").text(path)

@@ -154,3 +154,17 @@ def test_digests_of_files_beyond_the_limit_of_whole_reads(spark, tmp_path):
         spark.conf.unset(limit)
     assert {r["md5"]: r["length"] for r in rows} == {hashlib.md5(c).hexdigest(): len(c) for c in contents.values()}
     assert whole == hashlib.md5(contents["b c.bin"]).hexdigest()
+
+
+def test_documents_with_different_fields_are_read_as_variants(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "one.json").write_text('{"k":1,"n":{"x":2,"y":[3,null]},"z":null,"t":"q","e":{}}\n\n')
+    (tmp_path / "a" / "b" / "two.json").write_text('{"k":2,"n":1.50,"deep":{"a":{"b":{"c":1}}}}\n[]\n7\n')
+    documents = files.read_variants(spark, str(tmp_path / "a"))
+    assert documents.count() == 4
+    keyed = documents.select(F.try_variant_get("document", "$.k", "long").alias("k"), "document")
+    got = {tuple(r) for r in files.variant_fields(keyed).collect()}
+    assert got == {
+        (1, "k", "1"), (1, "n.x", "2"), (1, "n.y.0", "3"), (1, "n.y.1", None), (1, "z", None), (1, "t", "q"), (1, "e", "{}"),
+        (2, "k", "2"), (2, "n", "1.5"), (2, "deep.a.b", '{"c":1}')}
+    assert files.read_variants(spark, str(tmp_path / "absent")).isEmpty()
