@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from offerlens.contract import RAW_COLUMNS, RENAMES, FeatureSpec
 from offerlens.functions.scalars import col
 from offerlens.operators.columns import rename_columns
 from offerlens.operators.gates import Watch
+from offerlens.operators.levels import level_index, one_hot_vector
 from offerlens.plans import features as B
 from offerlens.queries.inputs import KEY, KEY_SQL, builder, panel, prepared, raw, rounded
 from offerlens.queries.panel_sql import over_panel, uniform_sql
@@ -133,6 +135,24 @@ def one_hot(spark, folder) -> DataFrame:
     return B.one_hot(table, {c: f["levels"] for c, f in B.fit_categories(table, SPEC).items()})
 
 
+def one_hot_sparse(spark, folder) -> DataFrame:
+    """The levels that the sparse vectors of all rows hold, read back from their positions, and the vectors' size."""
+    table = panel(spark, folder).select(*KEY, *SPEC.categorical)
+    index = level_index(table, SPEC.categorical)
+    vectors = one_hot_vector(table, index, SPEC.categorical).select(*KEY, vector_to_array("levels").alias("v"))
+    held = vectors.select(*KEY, F.size("v").alias("size"), F.posexplode("v").alias("position", "hot")).where("hot = 1")
+    return held.join(index, "position").select(*KEY, "column", "value", F.col("position").cast("long").alias("position"), "size")
+
+
+def _sparse_sql() -> str:
+    held = " UNION ALL ".join(
+        f"""SELECT "MES", "CLIENTE", {i} AS place, '{c}' AS "column", CAST("{c}" AS VARCHAR) AS "value" FROM panel WHERE "{c}" IS NOT NULL"""
+        for i, c in enumerate(SPEC.categorical))
+    return over_panel("""SELECT "MES", "CLIENTE", "column", "value", position, CAST((SELECT count(*) FROM levels) AS INTEGER) AS size
+FROM held JOIN levels USING (place, "value")""", f"""held AS ({held}), levels AS (
+SELECT place, "value", row_number() OVER (ORDER BY place, "value") - 1 AS position FROM (SELECT DISTINCT place, "value" FROM held))""")
+
+
 def feature_table(spark, folder) -> DataFrame:
     return rounded(builder(spark, folder).transform(raw(spark, folder)))
 
@@ -184,6 +204,7 @@ QUERIES = {
     "impute_mode": impute_mode,
     "impute_all": impute_all,
     "one_hot": one_hot,
+    "one_hot_sparse": one_hot_sparse,
     "preprocessor_state": preprocessor_state,
     "feature_table": feature_table,
     "gates_in_flight": gates_in_flight,
@@ -196,6 +217,7 @@ ORACLES = {
     "impute_mode": _imputed_sql(SPEC.categorical),
     "impute_all": _imputed_sql(IMPUTED),
     "one_hot": over_panel('SELECT "MES", "CLIENTE", ' + ", ".join(f'{x} AS "{n}"' for n, x in _DUMMIES.items()) + " FROM panel"),
+    "one_hot_sparse": _sparse_sql(),
     "preprocessor_state": _stats_sql(),
     "feature_table": _feature_sql(),
     "gates_in_flight": _in_flight_sql(),
