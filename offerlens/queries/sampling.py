@@ -13,7 +13,7 @@ from offerlens.operators import split as S
 from offerlens.queries.features import FEATURE_CTE, FEATURES
 from offerlens.queries.inputs import KEY, KEY_SQL, builder, once, panel, raw, rounded
 from offerlens.queries.panel_sql import digest_sql, over_panel, uniform_sql
-from offerlens.session import new_path, stage
+from offerlens.session import new_path, stage, stage_by_key
 
 # All features a model is fitted on, in whole hundredths, so that distances are equal in both engines to the last bit.
 POINT_FEATURES = tuple(c for c in FEATURES if c not in (TARGET, "CLIENTE"))
@@ -45,6 +45,14 @@ def stratified_split(spark, folder) -> DataFrame:
     return S.stratified_split(panel(spark, folder), KEY).select(*KEY, TARGET, "split")
 
 
+def keyed_join(spark, folder) -> DataFrame:
+    """Panel and split, each stored in buckets of the key, joined and counted per row without a shuffle."""
+    table, buckets = panel(spark, folder), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = stage_by_key(table.select(*KEY, TARGET), "keyed-rows", KEY, buckets)
+    parts = stage_by_key(S.stratified_split(table, KEY).select(*KEY, "split"), "keyed-split", KEY, buckets)
+    return rows.join(parts, list(KEY)).groupBy(*KEY, TARGET, "split").agg(F.count("*").alias("rows"))
+
+
 def stratified_folds(spark, folder) -> DataFrame:
     return S.stratified_folds(panel(spark, folder), KEY).select(*KEY, TARGET, "fold")
 
@@ -118,6 +126,7 @@ grown AS (SELECT CAST(0 AS BIGINT) AS class, major AS n FROM sizes
 
 QUERIES = {
     "stratified_split": stratified_split,
+    "keyed_join": keyed_join,
     "split_distribution": lambda s, d: S.split_distribution(S.stratified_split(panel(s, d), KEY)),
     "stratified_folds": stratified_folds,
     "split_roundtrip": split_roundtrip,
@@ -128,6 +137,7 @@ QUERIES = {
 
 ORACLES = {
     "stratified_split": over_panel('SELECT "MES", "CLIENTE", "FLAG_VENTA", split FROM split', SPLIT_CTES),
+    "keyed_join": over_panel('SELECT "MES", "CLIENTE", "FLAG_VENTA", split, CAST(1 AS BIGINT) AS "rows" FROM split', SPLIT_CTES),
     "split_distribution": over_panel("""
 SELECT split, "FLAG_VENTA" AS class, count(*) AS count FROM split GROUP BY 1, 2
 UNION ALL SELECT 'total', "FLAG_VENTA", count(*) FROM split GROUP BY 2""", SPLIT_CTES),
