@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from offerlens.contract import SEED, SMOTE_NEIGHBOURS, SMOTE_RATIO
 from offerlens.functions.scalars import col
-from offerlens.plans.rows import training_rows
+from offerlens.plans.rows import fit_kept, training_rows
 from offerlens.session import stage
 
 
@@ -61,7 +61,7 @@ class ResampledClassifier(Estimator, HasSeed, MLReadable, MLWritable):
         return rows.select(*named)
 
     def _fit(self, dataset: DataFrame) -> Model:
-        return self.getEstimator().fit(self.resampled(dataset))
+        return fit_kept(self.getEstimator(), self.resampled(dataset))
 
     def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[dict]) -> Iterator[tuple[int, Model]]:
         """One resampling for all maps with the same own parameters."""

@@ -10,6 +10,7 @@ from offerlens.operators import evaluate as E
 from offerlens.operators.gates import GateError
 from offerlens.operators.oversample import as_points
 from offerlens.operators.split import stratified_split
+from offerlens.plans import rows
 from offerlens.plans import train as T
 from offerlens.session import stage
 
@@ -52,6 +53,30 @@ def test_estimators(spark):
         T.make_estimator("other", {})
 
 
+def test_shallow_boosted_trees_keep_no_nodes(spark):
+    kept = {name: T.make_estimator(name, params).getCacheNodeIds() for name, params in T.parameter_sets([*MODEL_SPECS, BOOSTED_SPEC])}
+    assert kept == {"decision_tree": True, "random_forest": True, "boosted_trees": False}
+
+
+def test_parts_grow_with_rows_only_when_they_are_full():
+    """Every part sends the statistics of all nodes, so more rows first fill the parts."""
+    assert [rows.partitions(n) for n in (0, 20_000, 20_001, 114_000)] == [1, 1, 2, 6]
+    assert [rows.partitions(n) for n in (650_000, 1_500_000, 1_500_001, 7_000_000, 42_000_000)] == [6, 6, 7, 28, 168]
+
+
+def test_rows_of_a_fit_are_made_once(split):
+    points = as_points(split.where("split = 'train'"), ["MES", "CLIENTE"], T.feature_names(split), "FLAG_VENTA")
+    table, seen = T.training_rows(stage(points, "points")), []
+
+    class Inner:
+        def fit(self, given):
+            seen.append(given.storageLevel.useMemory)
+            return "model"
+
+    assert rows.fit_kept(Inner(), table) == "model"
+    assert seen == [True] and not table.storageLevel.useMemory
+
+
 def test_training_rows_are_balanced_by_weight(split):
     points = as_points(split.where("split = 'train'"), ["MES", "CLIENTE"], T.feature_names(split), "FLAG_VENTA")
     rows = T.training_rows(stage(points, "points"))
