@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from offerlens.contract import CUSTOMER, N_FOLDS, SEED, SMOTE_NEIGHBOURS, SMOTE_RATIO, TARGET, TEST_SIZE
-from offerlens.functions.scalars import col
+from offerlens.functions.scalars import col, whole
 from offerlens.operators import neighbours as N
 from offerlens.operators import oversample as O
 from offerlens.operators import split as S
@@ -22,7 +22,7 @@ POINT_FEATURES = tuple(c for c in FEATURES if c not in (TARGET, "CLIENTE"))
 def points(spark, folder) -> DataFrame:
     def make() -> DataFrame:
         table = builder(spark, folder).keeping(CUSTOMER).transform(raw(spark, folder))
-        hundredths = F.array(*[F.round(col(c).cast("double") * 100).cast("long").cast("double") for c in POINT_FEATURES])
+        hundredths = F.array(*[whole(col(c).cast("double") * 100).cast("long").cast("double") for c in POINT_FEATURES])
         return stage(table.select(
             F.concat_ws(":", *[col(k).cast("string") for k in KEY]).alias("key"), col(TARGET).cast("int").alias("label"),
             hundredths.alias("features")), "points")

@@ -5,9 +5,11 @@ from frames import six_rows
 from pyspark.sql import functions as F
 
 from offerlens.contract import FeatureSpec
+from offerlens.functions.scalars import whole
 from offerlens.operators import columns as C
 from offerlens.operators import gates as G
 from offerlens.plans import features as B
+from offerlens.sources.panel import _hundredths
 
 SPEC = FeatureSpec()
 
@@ -22,6 +24,15 @@ def model(raw):
     return B.FeatureBuilder().fit(raw)
 
 
+def test_whole_rounds_as_round_does_and_makes_no_decimals(spark):
+    halves = [0.5, 1.5, 2.5, 0.49999999999999994, 114.99999999999999, 4503599627370495.5, 9007199254740993.0, 1e17, 0.0, 0.07 * 100, 1.005 * 100]
+    table = spark.createDataFrame([(x,) for v in halves for x in (v, -v)] + [(None,)], "a double")
+    made = table.select(whole(F.col("a")).cast("long").alias("w"), F.round("a").cast("long").alias("r"))
+    assert all(r["w"] == r["r"] for r in made.collect())
+    for used in (_hundredths("a"), whole(F.col("a"))):
+        assert "round(" not in table.select(used.alias("h"))._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_floor_keeps_missing_missing(spark):
     table = spark.createDataFrame([(-1.0,), (None,), (2.0,)], "a double")
     assert [r[0] for r in C.floor_columns(table, ["a", "absent"]).collect()] == [0.0, None, 2.0]
