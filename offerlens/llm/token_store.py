@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,21 +29,24 @@ END = 2
 # begins without a blank is marked.
 _BARE = "\x01"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_STOP = re.compile(r"[.,](?<=[^\W\d_].)(?=[ \n]|\Z)")  # a full stop or comma after a letter, at the end of a word
 
 
 def _tokenizer(path: str) -> dict:
-    """The worker's tokenizer of words and the one as it is in the file, the strings of its added tokens, the ids that begin with a blank, and the words it remembers."""
+    """The worker's tokenizer, the strings of its added tokens, the ids that begin with a blank, and the words it remembers:
+    their strings, their ids in a row, the limits of these, and whether a word was met again."""
     state = worker_state()
     if path not in state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        plain, tokenizer = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        blank = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+        blank = np.zeros(1 + max(tokenizer.get_vocab().values()), bool)
         blank[[i for token, i in tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
-        added = [token.content for token in plain.get_added_tokens_decoder().values()]
-        state[path] = {"tokenizer": tokenizer, "plain": plain, "added": added, "blank": blank, "known": {}, "older": {}}
+        added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+        state[path] = {"tokenizer": tokenizer, "added": added, "blank": blank, "words": pa.array([], pa.large_string()),
+                       "ids": np.zeros(0, "<i4"), "limit": np.zeros(1, np.int64), "met": np.zeros(0, bool)}
     return state[path]
 
 
@@ -50,6 +54,15 @@ def _ids(tokenizer, texts: list[str]) -> list[bytes]:
     return [array("i", e.ids).tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def _ids_by_default(tokenizer, texts: list[str]) -> list[bytes]:
+    """Ids of texts by the library's default, which takes the string of a special token as that token."""
+    tokenizer.encode_special_tokens = False
+    try:
+        return _ids(tokenizer, texts)
+    finally:
+        tokenizer.encode_special_tokens = True
+
+
 def _ids_of_words(tokenizer, blank: np.ndarray, words: list[str], at_once: int = 2000) -> list[bytes]:
     """Ids of words with a blank before each: encoded in a row and cut where an id begins with a blank."""
     out = []
@@ -61,71 +74,116 @@ def _ids_of_words(tokenizer, blank: np.ndarray, words: list[str], at_once: int =
     return out
 
 
+def _marked(text: str) -> str:
+    """A text with blanks around every line feed and before every full stop or comma that ends a word, as these are pieces of their own."""
+    return _BARE + _STOP.sub(f" {_BARE}\\g<0>", text).replace("\n", f" {_BARE}\n {_BARE}")
+
+
+def _joined(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids in a row, limits of the items in them)."""
+    return np.frombuffer(b"".join(ids), "<i4"), np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4))
+
+
+def _taken(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of values, given by their first places and sizes, in a row."""
+    end = np.cumsum(size)
+    return values[np.repeat(first - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+
+
+def _remember(state: dict, fresh: list[str], spaced: int) -> None:
+    """Encode words, of which the first so many have a blank before them and the rest the mark, and keep their ids."""
+    ids, ends = _joined(_ids_of_words(state["tokenizer"], state["blank"], fresh[:spaced]) + _ids(state["tokenizer"], [w[1:] for w in fresh[spaced:]]))
+    state["words"] = pa.concat_arrays([state["words"], pa.array(fresh, pa.large_string())])
+    state["ids"], state["limit"] = np.append(state["ids"], ids), np.append(state["limit"], state["limit"][-1] + ends[1:])
+    state["met"] = np.append(state["met"], np.zeros(len(fresh), bool))
+
+
+def _forget(state: dict) -> None:
+    """Only words met again since the last time stay."""
+    kept = np.flatnonzero(state["met"])
+    size = np.diff(state["limit"])[kept]
+    state["words"], state["ids"] = state["words"].take(pa.array(kept)), _taken(state["ids"], state["limit"][kept], size)
+    state["limit"], state["met"] = np.append(0, np.cumsum(size)), np.zeros(len(kept), bool)
+
+
 def encode(texts: list[str], tokenizer_path: str, special_as_text: bool = True) -> list[bytes]:
-    """Ids of whole texts as little-endian 32-bit numbers, equal to the tokenizer's own for each text.
+    """Ids of whole texts as little-endian 32-bit numbers, equal to the tokenizer's own for each text."""
+    values, limit = encoded(texts, tokenizer_path, special_as_text)
+    return [values[a:b].tobytes() for a, b in zip(limit[:-1], limit[1:])]
+
+
+def encoded(texts: list[str], tokenizer_path: str, special_as_text: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in a row, limits of the texts in them), equal to the tokenizer's own for each text.
 
     Every distinct word is encoded by the tokenizer once, as long as the
-    worker remembers it; a text's ids are those of its words in a row. The
+    worker remembers it; a text's ids are those of its words in a row. Words are
+    numbered by Arrow, so each distinct one is looked up once in a call. The
     string of a special token is ordinary text, or without ``special_as_text``
     that token, as by the library's default: texts that hold the string of
     an added token then go through the tokenizer whole.
     """
+    if not texts:
+        return np.zeros(0, "<i4"), np.zeros(1, np.int64)
     state = _tokenizer(tokenizer_path)
-    if not special_as_text:
-        held = [k for k, t in enumerate(texts) if any(a in t for a in state["added"])]
-        whole = dict(zip(held, _ids(state["plain"], [texts[k] for k in held])))
-        rest = iter(encode([t for k, t in enumerate(texts) if k not in whole], tokenizer_path))
-        return [whole[k] if k in whole else next(rest) for k in range(len(texts))]
-    tokenizer, known, older = state["tokenizer"], state["known"], state["older"]
-    cut = [(_BARE + t).replace("\n", f" {_BARE}\n {_BARE}").split(" ") for t in texts]
-    missing = set().union(*cut).difference(known)
+    held = [] if special_as_text else [k for k, t in enumerate(texts) if any(a in t for a in state["added"])]
+    whole = dict(zip(held, _ids_by_default(state["tokenizer"], [texts[k] for k in held]) if held else ()))
+    parts = pc.split_pattern(pa.array([_BARE if k in whole else _marked(t) for k, t in enumerate(texts)], pa.large_string()), " ")
+    limit, coded = parts.offsets.to_numpy(), parts.values.dictionary_encode()
+    number, names = coded.indices.to_numpy(), coded.dictionary
+    place = pc.fill_null(pc.index_in(names, value_set=state["words"]), -1).to_numpy().copy()
+    at = np.flatnonzero(place < 0)
+    missing = names.take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()
     line = _BARE + "\n"
     # Parts that are empty or touch other white space: such texts are cut with care, and those parts not remembered.
     # So are texts that hold the mark themselves, as their words could pass for marked parts.
-    odd = {w for w in missing if w != line and (w in ("", _BARE) or w[1 if w[0] == _BARE else 0].isspace() or w[-1].isspace())}
-    passing: dict[str, bytes] = {}
-    slow = [k for k, (text, parts) in enumerate(zip(texts, cut)) if _BARE in text or odd and not odd.isdisjoint(parts)]
-    if slow:
-        for k in slow:
-            first, *rest = _CUT.split(texts[k])
-            cut[k] = [("head", first), *[("word", w) for w in rest]]
-        special = list({p for k in slow for p in cut[k]})
-        passing = dict(zip(special, _ids(tokenizer, [w if kind == "head" else " " + w for kind, w in special])))
-        missing = set().union(*(parts for k, parts in enumerate(cut) if parts and isinstance(parts[0], str))).difference(known)
-    for w in [w for w in missing if w in older]:
-        known[w] = older[w]
-        missing.discard(w)
-    # A full stop or comma after a letter is a piece of its own.
-    stopped = {w: w[:-1] for w in missing if w[-1] in ".," and w[-2:-1].isalpha()}
-    bases = {b for b in stopped.values() if b not in known}.union(w for w in missing if w not in stopped)
-    spaced, bare = [w for w in bases if w[0] != _BARE], [w for w in bases if w[0] == _BARE]
-    known.update(zip(spaced, _ids_of_words(tokenizer, state["blank"], spaced)))
-    known.update(zip(bare, _ids(tokenizer, [w[1:] for w in bare])))
-    marks = dict(zip(".,", _ids(tokenizer, [".", ","])))
-    found = {w: known[b] + marks[w[-1]] for w, b in stopped.items()}
-    known.update(found)
-    look = known.__getitem__
-    out = [b"".join(map(passing.__getitem__ if passing and isinstance(parts[0], tuple) else look, parts)) for parts in cut]
-    if len(known) > CACHED:
-        state["older"], state["known"] = known, {}
-    return out
+    odd = np.fromiter((w != line and (w in ("", _BARE) or w[1 if w[0] == _BARE else 0].isspace() or w[-1].isspace()) for w in missing), bool, len(missing))
+    careful = np.fromiter((_BARE in t for t in texts), bool, len(texts))
+    careful[held] = True
+    if odd.any():
+        apart = np.zeros(len(names), bool)
+        apart[at[odd]] = True
+        careful |= np.logical_or.reduceat(apart[number], limit[:-1])
+    passing: list[bytes] = []
+    if careful.any():
+        cut = {k: [(k,)] if k in whole else [(i > 0, w) for i, w in enumerate(_CUT.split(texts[k]))] for k in np.flatnonzero(careful).tolist()}
+        order = {p: len(names) + i for i, p in enumerate(dict.fromkeys(p for row in cut.values() for p in row))}
+        single = [p for p in order if len(p) == 2]
+        done = dict(zip(single, _ids(state["tokenizer"], [" " + w if later else w for later, w in single])))
+        passing = [done[p] if len(p) == 2 else whole[p[0]] for p in order]
+        rows = [np.array([order[p] for p in cut[k]]) if k in cut else number[limit[k]:limit[k + 1]] for k in range(len(texts))]
+        number, limit = np.concatenate(rows), np.append(0, np.cumsum([len(r) for r in rows]))
+        used = np.zeros(len(names) + len(passing), bool)
+        used[number] = True
+        missing = [w for w, u in zip(missing, used[at].tolist()) if u]
+        at = at[used[at]]
+    n = len(state["words"])
+    state["met"][place[place >= 0]] = True
+    bare = np.fromiter((w[0] == _BARE for w in missing), bool, len(missing))
+    at, missing = np.append(at[~bare], at[bare]), [w for w in missing if w[0] != _BARE] + [w for w in missing if w[0] == _BARE]
+    place[at] = n + np.arange(len(at))
+    _remember(state, missing, np.count_nonzero(~bare))
+    ids, ends = _joined(passing)
+    first = np.append(state["limit"][place], state["limit"][-1] + ends[:-1])
+    size = np.append(state["limit"][place + 1] - state["limit"][place], np.diff(ends))[number]
+    values = _taken(np.append(state["ids"], ids), first[number], size)
+    if n + len(at) > CACHED:
+        _forget(state)
+    return values, np.append(0, np.cumsum(size))[limit]
 
 
 def _encoded(tokenizer_path: str, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        closing = np.array([end], "<i4").tobytes()
         before = 0
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in slices(texts, 1 << 21):
-                ids = [b + closing for b in encode(texts[lo:hi], tokenizer_path, special_as_text=False)]
-                sizes = np.array([len(b) // 4 for b in ids], np.int64)
-                offsets = np.concatenate(([0], np.cumsum(sizes)))
-                values = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(ids))])
+            for lo, hi in slices(texts, 1 << 20):
+                ids, limit = encoded(texts[lo:hi], tokenizer_path, special_as_text=False)
+                offsets = limit + np.arange(hi - lo + 1)
+                values = pa.array(np.insert(ids, limit[1:], end), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array(np.full(hi - lo, part, np.int32)),
-                     pa.array(before + offsets[:-1]), pa.array(sizes),
+                     pa.array(before + offsets[:-1]), pa.array(np.diff(offsets)),
                      pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)],
                     ["doc_id", "part", "before", "n_tokens", "ids"])
                 before += int(offsets[-1])

@@ -35,3 +35,19 @@ def test_written_tokens_equal_the_library_default(spark, tmp_path):
     want = [ids + [token_store.END] for ids in _plain(SPECIAL)]
     assert [list(r["ids"]) for r in rows] == want
     assert [r["start"] for r in rows] == [sum(map(len, want[:k])) for k in range(len(want))]
+
+
+def test_words_met_again_are_encoded_once_and_the_rest_forgotten(monkeypatch):
+    """Ids come in one array; a full stop or comma after a letter is not part of the word that is encoded."""
+    monkeypatch.setattr(token_store, "CACHED", 8)
+    state = token_store._tokenizer(queries.tokenizer_path())
+    monkeypatch.setitem(state, "met", state["met"] & False)
+    token_store._forget(state)
+    asked = []
+    encode = token_store._ids_of_words
+    monkeypatch.setattr(token_store, "_ids_of_words", lambda tokenizer, blank, words: asked.extend(words) or encode(tokenizer, blank, words))
+    for texts in (["q zorgle zorgle. zorgle,", "", "²."], ["q zorgle. x7. \n"] + [f"q other{i}x, zorgle" for i in range(9)], ["q zorgle é. other1x"] * 3, SPECIAL):
+        values, limit = token_store.encoded(texts, queries.tokenizer_path(), special_as_text=False)
+        assert [values[a:b].tolist() for a, b in zip(limit, limit[1:])] == _plain(texts)
+    assert asked.count("zorgle") == 1 and "zorgle." not in asked and asked.count("other1x") == 2
+    assert token_store.encoded([], queries.tokenizer_path())[1].tolist() == [0]
