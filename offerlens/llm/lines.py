@@ -21,6 +21,7 @@ _TOKEN_BITS, _HASH_BITS = U(45), U(37)
 _LINES = 1 << 19
 _DRAWS = tuple(U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 PARITIES = ("parity", "parity2")
+SHARES = 8  # lines of a group that all others of it are compared with
 _ROW = "doc_id long, t long, line int, key long, size int, parity long, parity2 long, groups array<long>, prefix array<int>"
 
 
@@ -85,28 +86,22 @@ def _may_be_similar(threshold: float, a: str, b: str) -> Column:
     Tokens in only one of two sets change the parity of a class each, so the
     classes that differ are at most as many as those tokens.
     """
-    t, x, y = F.lit(threshold), F.col(f"{a}size"), F.col(f"{b}size")
+    return _similar_sizes(threshold, F.col(f"{a}size"), F.col(f"{b}size"), a, b)
+
+
+def _similar_sizes(threshold: float, x: Column, y: Column, a: str, b: str) -> Column:
+    t = F.lit(threshold)
     apart = sum(F.bit_count(F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))) for p in PARITIES)
     return (F.least(x, y) >= t * F.greatest(x, y) - 1e-9) & (apart <= x + y - 2 * F.ceil(t / (t + 1) * (x + y) - 1e-9))
 
 
-def _places_table(hashes: DataFrame) -> np.ndarray:
-    """A table of PLACES bits with those of the hashes (column h) set."""
-    bits = hashes.groupBy(F.pmod(F.shiftright("h", 6), F.lit(PLACES // 64)).alias("cell")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).toPandas()
-    table = np.zeros(PLACES // 64, np.int64)
-    table[bits["cell"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64)
-    return table.view(U)
-
+def _places_table(hashes: DataFrame) -> DataFrame:
+    """(cell, bits): a table of PLACES bits with those of the hashes (column h) set."""
+    return hashes.groupBy(_cell("h").alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits"))
 
-def _in_places(table: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column("h").to_numpy()
-            cell = ((h >> 6) % len(table)).astype(np.int64)
-            yield batch.filter(pa.array((table[cell] >> (h & 63).astype(U)) & U(1) == 1)).select(["doc_id", "t", "text"])
 
-    return run
+def _cell(h: str) -> Column:
+    return F.pmod(F.shiftright(h, 6), F.lit(PLACES // 64)).cast("int")
 
 
 def _texts_of_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,9 +145,9 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataF
     position and the parity of the words' hash classes bound the overlap
     before a pair is kept, and the Jaccard similarity of a kept pair is
     computed from the lines. Lines are first grouped by minima of their word hashes and
-    compared with the earliest of their group: that settles most of a large
-    group of near-equal lines with two comparisons a line. Two settled lines
-    need no comparison with each other; all others meet in the join, so no repeat is missed.
+    compared with the earliest of each of a few shares of their group: that settles most of a large
+    group of near-equal lines with a few comparisons a line. A settled line is not compared with
+    those before it again; all others meet in the join, so no repeat is missed.
     """
     plain = id_and_text(docs).where("text is not null").select("doc_id", F.xxhash64("text").alias("t"), "text")
     counts = rarity(plain, lambda texts: words(texts).hashes)
@@ -169,7 +164,8 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataF
         keys = keys.distinct().select("key", "place.doc_id", "place.t", "place.line")
         home = F.xxhash64("doc_id", "t")
         wanted = keys.groupBy("doc_id", "t").agg(F.collect_list(F.struct("key", "line")).alias("wanted"))
-        near = plain.withColumn("h", home).mapInArrow(_in_places(_places_table(keys.select(home.alias("h")))), "doc_id long, t long, text string")
+        places = _places_table(keys.select(home.alias("h")))
+        near = plain.withColumn("h", home).withColumn("cell", _cell("h")).join(F.broadcast(places), "cell").where("(shiftrightunsigned(bits, cast(h & 63 as int)) & 1) = 1")
         found = near.join(wanted.withColumnRenamed("doc_id", "d"), (near["t"] == wanted["t"]) & near["doc_id"].eqNullSafe(F.col("d")))
         texts = stage(found.select("text", "wanted").mapInArrow(_texts_of_lines, "key long, text string").dropDuplicates(["key"]), "line-texts")
         sides = (pairs.select("a", "b").join(texts.select(F.col("key").alias("a"), F.col("text").alias("a_text")), "a")
@@ -179,21 +175,29 @@ def repeated_lines(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataF
         return stage(links.select(F.when(late, F.col("a")).otherwise(F.col("b")).alias("later"),
                                   F.when(late, F.col("b")).otherwise(F.col("a")).alias("earlier")), "line-links")
 
-    grouped = sets.select("key", "place", "size", *PARITIES, F.explode("groups").alias("group"))
-    earliest = grouped.groupBy("group").agg(F.min(F.struct("place", "key", "size", *PARITIES)).alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = grouped.join(earliest.select("group", "low.*").select("group", *[F.col(c).alias(f"b_{c}") for c in ("place", "key", "size", *PARITIES)]), "group")
-    met = met.where((F.col("key") != F.col("b_key")) & _may_be_similar(threshold, "", "b_"))
+    met = sets.select("key", "place", "size", *PARITIES, F.explode("groups").alias("group"))
+    several = sets.select(F.explode("groups").alias("group")).groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+    grouped = stage(met.join(several, "group", "left_semi"), "line-groups")
+    share = F.pmod("key", F.lit(SHARES)).alias("share")
+    earliest = grouped.groupBy("group", share).agg(F.min(F.struct("place", "key", "size", *PARITIES)).alias("low"))
+    earliest = earliest.select("group", *[F.col(f"low.{c}").alias(f"b_{c}") for c in ("place", "key", "size", *PARITIES)])
+    met = grouped.join(earliest, "group").where((F.col("place") > F.col("b_place")) & _may_be_similar(threshold, "", "b_"))
     settled = verified(met.select(F.col("key").alias("a"), F.col("b_key").alias("b"), F.col("place").alias("a_place"), F.col("b_place")).dropDuplicates(["a", "b"]))
 
     marked = sets.join(settled.select(F.col("later").alias("key"), F.lit(1).alias("settled")).distinct(), "key", "left")
-    postings = marked.select("key", "size", *PARITIES, F.coalesce("settled", F.lit(0)).alias("settled"), F.posexplode("prefix").alias("at", "word"))
-    a, b = (postings.select("word", *[F.col(c).alias(f"{side}_{c}") for c in ("key", "size", *PARITIES, "settled", "at")]) for side in "ab")
-    once = F.expr("a_settled + b_settled < 2 and (a_settled < b_settled or a_settled = b_settled and a_key < b_key)")
-    pairs = a.join(b, "word").where(once & _may_be_similar(threshold, "a_", "b_") & may_match(threshold, "a_size", "b_size", "a_at", "b_at"))
-    pairs = pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")).distinct()
+    # Few columns, as these rows are the most that are shuffled: sizes and positions share a number.
+    postings = marked.select("key", *PARITIES, "size", F.coalesce("settled", F.lit(0)).alias("settled"), F.posexplode("prefix").alias("at", "word")).select(
+        "word", "key", *PARITIES, F.expr("shiftleft(cast(at as long), 32) | size * 2L | settled").alias("packed"))
+    a, b = (postings.select("word", *[F.col(c).alias(f"{side}_{c}") for c in ("key", *PARITIES, "packed")]) for side in "ab")
+    once = F.expr("(a_packed & b_packed & 1) = 0 and ((a_packed & 1) < (b_packed & 1) or (a_packed & 1) = (b_packed & 1) and a_key < b_key)")
+    size, at = (lambda side: F.expr(f"cast(shiftright({side}_packed, 1) & 2147483647 as int)")), (lambda side: F.expr(f"cast(shiftright({side}_packed, 32) as int)"))
+    pairs = a.join(b, "word").where(once & _similar_sizes(threshold, size("a"), size("b"), "a_", "b_") & may_match(threshold, size("a"), size("b"), at("a"), at("b")))
+    pairs = pairs.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"), *[F.expr(f"{x}_packed & 1").alias(f"{x}_settled") for x in "ab"]).distinct()
     placed = sets.select("key", "place")
     pairs = (pairs.join(placed.select(F.col("key").alias("a"), F.col("place").alias("a_place")), "a")
              .join(placed.select(F.col("key").alias("b"), F.col("place").alias("b_place")), "b"))
+    # A settled line has its earlier one: only those without are compared with all before them.
+    pairs = pairs.where(F.when(F.col("a_place") > F.col("b_place"), F.col("a_settled")).otherwise(F.col("b_settled")) == 0).drop("a_settled", "b_settled")
     return rows.select("doc_id", "t", "line", "key"), settled.unionByName(verified(pairs))
 
 

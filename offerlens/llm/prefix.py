@@ -54,7 +54,7 @@ def prefixes(element: np.ndarray, limit: np.ndarray, counts: np.ndarray, thresho
     return element[order][keep], at[keep], length
 
 
-def may_match(threshold: float, a_size: str, b_size: str, a_at: str, b_at: str) -> Column:
+def may_match(threshold: float, a_size: str | Column, b_size: str | Column, a_at: str | Column, b_at: str | Column) -> Column:
     """Whether two sets can reach the threshold whose first shared element has the given positions in their orders.
 
     The smaller must be large enough, and the shared element and those after
@@ -62,6 +62,6 @@ def may_match(threshold: float, a_size: str, b_size: str, a_at: str, b_at: str)
     element may fail this; the pair's first one then decides.
     """
     t = F.lit(threshold)
-    a, b, i, j = (F.col(c) for c in (a_size, b_size, a_at, b_at))
+    a, b, i, j = (F.col(c) if isinstance(c, str) else c for c in (a_size, b_size, a_at, b_at))
     need = F.ceil(t / (t + 1) * (a + b) - 1e-9)
     return (F.least(a, b) >= t * F.greatest(a, b) - 1e-9) & (F.least(a - i, b - j) >= need)
