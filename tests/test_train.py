@@ -136,3 +136,17 @@ def test_models_without_probability_give_a_sigmoid(split):
     assert scored.where(~F.col("probability").between(0, 1)).isEmpty()
     assert scored.select("probability").distinct().count() > 100
     assert T.feature_importance(svm, ["a", "d"]).isEmpty()
+
+
+def test_the_longest_fits_of_all_folds_begin_first(spark, monkeypatch):
+    rows = [(f"k{i}", i % 2, [float(i % 7), float(i % 2) + i % 3]) for i in range(60)]
+    points = spark.createDataFrame(rows, "key string, label int, features array<double>")
+    specs = [ModelSpec("decision_tree", {"criterion": ("gini",), "max_depth": (2,)}),
+             ModelSpec("random_forest", {"max_depth": (2, 3), "n_estimators": (3,)})]
+    begun = []
+    make = T.make_estimator
+    monkeypatch.setattr(T, "make_estimator", lambda family, params, seed: begun.append((family, params["max_depth"])) or make(family, params, seed))
+    search = T.grid_search(points, specs, folds=2, parallelism=1)
+    assert begun == [("random_forest", 3)] * 2 + [("random_forest", 2)] * 2 + [("decision_tree", 2)] * 2
+    assert search.results.select("position", "model_name", "params", "fold").distinct().count() == 6
+    assert {(r["position"], r["model_name"]) for r in search.results.collect()} == {(0, "decision_tree"), (1, "random_forest"), (2, "random_forest")}
