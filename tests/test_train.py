@@ -139,7 +139,7 @@ def test_models_without_probability_give_a_sigmoid(split):
 
 
 def test_the_longest_fits_of_all_folds_begin_first(spark, monkeypatch):
-    rows = [(f"k{i}", i % 2, [float(i % 7), float(i % 2) + i % 3]) for i in range(60)]
+    rows = [(f"k{i}", int(i % 6 == 0), [float(i % 7), float(i % 6 == 0) + i % 3]) for i in range(120)]
     points = spark.createDataFrame(rows, "key string, label int, features array<double>")
     specs = [ModelSpec("decision_tree", {"criterion": ("gini",), "max_depth": (2,)}),
              ModelSpec("random_forest", {"max_depth": (2, 3), "n_estimators": (3,)})]
