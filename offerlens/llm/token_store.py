@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerlens.llm.common import id_and_text, slices
-from offerlens.llm.words import worker_state
+from offerlens.llm.words import U, mix, worker_state
 from offerlens.session import stage
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
-CACHED = 250_000  # words a worker remembers before those not met again since are forgotten
+CACHED = 500_000  # words a worker remembers before those not met again since are forgotten
 END = 2
 
 # A blank or line feed between two characters that are not white space starts a piece of its own in
@@ -29,12 +29,16 @@ END = 2
 # begins without a blank is marked.
 _BARE = "\x01"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_STOP = re.compile(r"[.,](?<=[^\W\d_].)(?=[ \n]|\Z)")  # a full stop or comma after a letter, at the end of a word
+_MARKS = r"[!-&(-/:-@\[-^`{-~]"  # ASCII punctuation without the apostrophe, which may begin a contraction
+_STOP = re.compile(rf"{_MARKS}(?<=[^\W\d_].){_MARKS}*(?=[ \n]|\Z)")  # punctuation after a letter, up to the end of a word
+_SPACE = "[" + "".join(rf"\x{{{i:x}}}" for i in range(0x110000) if chr(i).isspace()) + "]"
+_ODD = rf"\A\x01?(?:\z|{_SPACE})|{_SPACE}\z"  # a part that is empty or touches other white space
+_PLACES = 256  # of a part's bytes, which have scrambled codes of their own
 
 
 def _tokenizer(path: str) -> dict:
     """The worker's tokenizer, the strings of its added tokens, the ids that begin with a blank, and the words it remembers:
-    their strings, their ids in a row, the limits of these, and whether a word was met again."""
+    their strings, their ids in a row, the limits of these, whether a word was met again, their hashes in order and whose these are."""
     state = worker_state()
     if path not in state:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,7 +50,8 @@ def _tokenizer(path: str) -> dict:
         blank[[i for token, i in tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
         added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
         state[path] = {"tokenizer": tokenizer, "added": added, "blank": blank, "words": pa.array([], pa.large_string()),
-                       "ids": np.zeros(0, "<i4"), "limit": np.zeros(1, np.int64), "met": np.zeros(0, bool)}
+                       "ids": np.zeros(0, "<i4"), "limit": np.zeros(1, np.int64), "met": np.zeros(0, bool),
+                       "hash": np.zeros(0, U), "whose": np.zeros(0, np.int64)}
     return state[path]
 
 
@@ -74,8 +79,21 @@ def _ids_of_words(tokenizer, blank: np.ndarray, words: list[str], at_once: int =
     return out
 
 
+def _ids_of_bare_words(tokenizer, words: list[str], at_once: int = 2000) -> list[bytes]:
+    """Ids of words without a blank: encoded in a row, a line feed between two, and cut at the line feeds."""
+    plain, others = [w for w in words if "\n" not in w], [w for w in words if "\n" in w]
+    feed = tokenizer.token_to_id("\u010a")
+    done = dict(zip(others, _ids(tokenizer, others)))
+    groups = [plain[i:i + at_once] for i in range(0, len(plain), at_once)]
+    for group, row in zip(groups, _ids(tokenizer, ["\n".join(g) for g in groups])):
+        cuts = (np.flatnonzero(np.frombuffer(row, "<i4") == feed) * 4).tolist() + [len(row)]
+        assert len(cuts) == len(group)
+        done.update((w, row[a:b]) for w, a, b in zip(group, [0] + [c + 4 for c in cuts], cuts))
+    return [done[w] for w in words]
+
+
 def _marked(text: str) -> str:
-    """A text with blanks around every line feed and before every full stop or comma that ends a word, as these are pieces of their own."""
+    """A text with blanks around every line feed and before all punctuation that follows a letter and ends a word, as these are pieces of their own."""
     return _BARE + _STOP.sub(f" {_BARE}\\g<0>", text).replace("\n", f" {_BARE}\n {_BARE}")
 
 
@@ -90,20 +108,53 @@ def _taken(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarra
     return values[np.repeat(first - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
 
 
-def _remember(state: dict, fresh: list[str], spaced: int) -> None:
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each of some words, from sums of codes of their bytes by place."""
+    state = worker_state()
+    if "byte_codes" not in state:
+        state["byte_codes"] = mix(np.arange(1, 256 * _PLACES + 1, dtype=U))
+    limit = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[limit[0]:limit[-1]]
+    limit = limit - limit[0]
+    at = np.arange(len(data)) - np.repeat(limit[:-1], np.diff(limit))
+    total = np.append(U(0), np.cumsum(state["byte_codes"][(at % _PLACES) * 256 + data], dtype=U))
+    return mix(total[limit[1:]] - total[limit[:-1]])
+
+
+def _places(state: dict, names: pa.Array, hashes: np.ndarray) -> np.ndarray:
+    """The place of each name among the words remembered, or -1. Hashes only point to a word: the strings decide."""
+    place = np.full(len(names), -1, np.int64)
+    if len(state["hash"]):
+        order = np.argsort(hashes)
+        near = np.minimum(np.searchsorted(state["hash"], hashes[order]), len(state["hash"]) - 1)
+        same = state["hash"][near] == hashes[order]
+        at, found = order[same], state["whose"][near[same]]
+        equal = pc.equal(names.take(pa.array(at)), state["words"].take(pa.array(found))).to_numpy(zero_copy_only=False)
+        place[at[equal]] = found[equal]
+    return place
+
+
+def _remember(state: dict, fresh: pa.Array, hashes: np.ndarray, spaced: int) -> None:
     """Encode words, of which the first so many have a blank before them and the rest the mark, and keep their ids."""
-    ids, ends = _joined(_ids_of_words(state["tokenizer"], state["blank"], fresh[:spaced]) + _ids(state["tokenizer"], [w[1:] for w in fresh[spaced:]]))
-    state["words"] = pa.concat_arrays([state["words"], pa.array(fresh, pa.large_string())])
+    words = fresh.to_pylist()
+    ids, ends = _joined(_ids_of_words(state["tokenizer"], state["blank"], words[:spaced]) + _ids_of_bare_words(state["tokenizer"], [w[1:] for w in words[spaced:]]))
+    order = np.argsort(hashes)
+    at = np.searchsorted(state["hash"], hashes[order])
+    state["hash"], state["whose"] = np.insert(state["hash"], at, hashes[order]), np.insert(state["whose"], at, len(state["words"]) + order)
+    state["words"] = pa.concat_arrays([state["words"], fresh])
     state["ids"], state["limit"] = np.append(state["ids"], ids), np.append(state["limit"], state["limit"][-1] + ends[1:])
     state["met"] = np.append(state["met"], np.zeros(len(fresh), bool))
 
 
 def _forget(state: dict) -> None:
     """Only words met again since the last time stay."""
-    kept = np.flatnonzero(state["met"])
+    met = state["met"]
+    kept = np.flatnonzero(met)
     size = np.diff(state["limit"])[kept]
     state["words"], state["ids"] = state["words"].take(pa.array(kept)), _taken(state["ids"], state["limit"][kept], size)
     state["limit"], state["met"] = np.append(0, np.cumsum(size)), np.zeros(len(kept), bool)
+    stay = met[state["whose"]]
+    state["hash"], state["whose"] = state["hash"][stay], (np.cumsum(met) - 1)[state["whose"][stay]]
 
 
 def encode(texts: list[str], tokenizer_path: str, special_as_text: bool = True) -> list[bytes]:
@@ -130,13 +181,13 @@ def encoded(texts: list[str], tokenizer_path: str, special_as_text: bool = True)
     parts = pc.split_pattern(pa.array([_BARE if k in whole else _marked(t) for k, t in enumerate(texts)], pa.large_string()), " ")
     limit, coded = parts.offsets.to_numpy(), parts.values.dictionary_encode()
     number, names = coded.indices.to_numpy(), coded.dictionary
-    place = pc.fill_null(pc.index_in(names, value_set=state["words"]), -1).to_numpy().copy()
+    hashes = _hashes(names)
+    place = _places(state, names, hashes)
     at = np.flatnonzero(place < 0)
-    missing = names.take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()
-    line = _BARE + "\n"
     # Parts that are empty or touch other white space: such texts are cut with care, and those parts not remembered.
     # So are texts that hold the mark themselves, as their words could pass for marked parts.
-    odd = np.fromiter((w != line and (w in ("", _BARE) or w[1 if w[0] == _BARE else 0].isspace() or w[-1].isspace()) for w in missing), bool, len(missing))
+    missing = names.take(pa.array(at))
+    odd = pc.and_(pc.match_substring_regex(missing, _ODD), pc.not_equal(missing, _BARE + "\n")).to_numpy(zero_copy_only=False)
     careful = np.fromiter((_BARE in t for t in texts), bool, len(texts))
     careful[held] = True
     if odd.any():
@@ -154,14 +205,13 @@ def encoded(texts: list[str], tokenizer_path: str, special_as_text: bool = True)
         number, limit = np.concatenate(rows), np.append(0, np.cumsum([len(r) for r in rows]))
         used = np.zeros(len(names) + len(passing), bool)
         used[number] = True
-        missing = [w for w, u in zip(missing, used[at].tolist()) if u]
         at = at[used[at]]
     n = len(state["words"])
     state["met"][place[place >= 0]] = True
-    bare = np.fromiter((w[0] == _BARE for w in missing), bool, len(missing))
-    at, missing = np.append(at[~bare], at[bare]), [w for w in missing if w[0] != _BARE] + [w for w in missing if w[0] == _BARE]
+    bare = pc.starts_with(names.take(pa.array(at)), _BARE).to_numpy(zero_copy_only=False)
+    at = np.append(at[~bare], at[bare])
     place[at] = n + np.arange(len(at))
-    _remember(state, missing, np.count_nonzero(~bare))
+    _remember(state, names.take(pa.array(at)), hashes[at], np.count_nonzero(~bare))
     ids, ends = _joined(passing)
     first = np.append(state["limit"][place], state["limit"][-1] + ends[:-1])
     size = np.append(state["limit"][place + 1] - state["limit"][place], np.diff(ends))[number]

@@ -37,6 +37,27 @@ def test_written_tokens_equal_the_library_default(spark, tmp_path):
     assert [r["start"] for r in rows] == [sum(map(len, want[:k])) for k in range(len(want))]
 
 
+def test_words_of_one_hash_keep_their_own_ids(monkeypatch):
+    """Hashes only point to a remembered word, the strings decide."""
+    monkeypatch.setattr(token_store, "_hashes", lambda words: token_store.np.zeros(len(words), token_store.U))
+    for texts in (["alpha beta gamma\ndelta. alpha", "beta"], ["gamma epsilon alpha", "zeta\nbeta"]) * 2:
+        assert _ours(texts) == _plain(texts)
+    state = token_store._tokenizer(queries.tokenizer_path())
+    token_store._forget(state)
+    assert (state["hash"][:-1] <= state["hash"][1:]).all() and sorted(state["whose"].tolist()) == list(range(len(state["words"])))
+
+
+def test_known_words_take_no_second_encoding_and_bare_ones_share_a_call(monkeypatch):
+    """Punctuation that ends a word is a part of its own, and words that begin lines are encoded in a row."""
+    spaced, calls = [], []
+    of_words, ids = token_store._ids_of_words, token_store._ids
+    monkeypatch.setattr(token_store, "_ids_of_words", lambda tokenizer, blank, words: spaced.extend(words) or of_words(tokenizer, blank, words))
+    monkeypatch.setattr(token_store, "_ids", lambda tokenizer, texts: calls.append(len(texts)) or ids(tokenizer, texts))
+    texts = ["\n".join(f"begin{i}x$$$ tail{i}y!? don't" for i in range(50)), "q tail1y). tail2y's\nbegin3x\t$ (tail3y)"]
+    assert _ours(texts) == _plain(texts)
+    assert "tail1y" in spaced and not any(w.endswith(("!?", ").", "$$$")) for w in spaced) and max(calls) <= 2
+
+
 def test_words_met_again_are_encoded_once_and_the_rest_forgotten(monkeypatch):
     """Ids come in one array; a full stop or comma after a letter is not part of the word that is encoded."""
     monkeypatch.setattr(token_store, "CACHED", 8)
