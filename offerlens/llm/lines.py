@@ -42,7 +42,8 @@ def _token_sets(texts: list[str], rank: np.ndarray) -> tuple[np.ndarray, np.ndar
     w = words(texts)
     line = np.searchsorted(w.line_end, w.start)
     token = (rank[(w.hashes & U(RARITY_BUCKETS - 1)).astype(np.int64)] << _HASH_BITS) | (w.hashes >> (U(64) - _HASH_BITS))
-    used, line = np.unique(line, return_inverse=True)
+    new = np.append(line[:1] >= 0, line[1:] != line[:-1])
+    used, line = line[new], np.cumsum(new) - 1
     limits, tokens = [np.zeros(1, np.int64)], []
     for low in range(0, len(used), _LINES):  # as many lines at a time as the other bits can number
         i, j = np.searchsorted(line, (low, low + _LINES))
@@ -133,7 +134,9 @@ def _posted(threshold: float, parts: int):
         owner, word = np.repeat(np.arange(len(n)), n), np.frombuffer(b"".join(prefix.to_pylist()), np.int32).astype(np.int64)
         size = sets.column("size").to_numpy().astype(np.int64)[owner]
         part, sizes = word % parts, (np.log(size) / ratio).astype(np.int64)
-        order = np.lexsort((sizes, part))
+        classes = int(sizes.max()) + 1 if len(sizes) else 1
+        code = part * classes + sizes
+        order = np.argsort(code.astype(np.uint16) if parts * classes <= 1 << 16 else code, kind="stable")  # 16 bits are sorted by digits
         owner, word, size, part, sizes = (x[order] for x in (owner, word, size, part, sizes))
         place = ((_spans(np.zeros(len(n), np.int64), n)[order] << 1) | sets.column("settled").to_numpy()[owner]).astype(np.int32)
         columns = [(word << 32) | size, *[sets.column(c).to_numpy()[owner] for c in ("key", *PARITIES)], place]
@@ -171,11 +174,13 @@ def _compared(threshold: float, met: np.ndarray, at: np.ndarray, settled: np.nda
     """
     size = met & 0xFFFFFFFF
     least = met - size + np.ceil(threshold * size - 1e-9).astype(np.int64)
+    # The words of b from this one on must be enough for all words that are needed in common: that bounds the size of a as well.
+    most = met - size + np.maximum(np.floor((size - at) * (1 + threshold) / threshold - size + 1e-6), 0).astype(np.int64)
     found = at < size - np.ceil(2 * threshold / (1 + threshold) * size - 1e-9) + 1
     for asking, answering in ((fresh & (settled == 0), found), (fresh & (settled == 1), found & (settled == 0))):
         b, of = np.flatnonzero(asking), np.flatnonzero(answering)
         low = np.searchsorted(met[of], least[b])
-        n = np.searchsorted(of, b) - low
+        n = np.minimum(np.searchsorted(of, b), np.searchsorted(met[of], most[b], side="right")) - low
         b, low, n = b[n > 0], low[n > 0], n[n > 0]
         total, start = np.cumsum(n), 0
         while start < len(b):
@@ -188,7 +193,7 @@ def _meeting(threshold: float):
     """Pairs of sets that may be similar, from blocks ordered by part and class of sizes. Held are the postings of one class and
     those of smaller sets that it may still meet."""
     def pairs(rows: list[np.ndarray], old: int) -> tuple[pa.RecordBatch, list[np.ndarray]]:
-        order = np.argsort(rows[0], kind="stable")
+        order = np.argsort(rows[0])
         met, key, parity, parity2, place = (x[order] for x in rows)
         at, settled, size = place >> 1, place & 1, met & 0xFFFFFFFF
         kept = [np.zeros((2, 0), np.int64)]
@@ -257,13 +262,15 @@ def _similar(threshold: float):
             good = np.zeros(len(a), bool)
             for lo, hi in slices([x + y for x, y in zip(a, b)], CHARS):
                 known: dict[str, int] = {}
-                pairs = [(known.setdefault(x, len(known)), known.setdefault(y, len(known))) for x, y in zip(a[lo:hi], b[lo:hi])]
+                x, y = (np.array([known.setdefault(line, len(known)) for line in side[lo:hi]]) for side in (a, b))
                 line, token, _ = counted(*(lambda w: (w.doc, w.hashes))(words(list(known))))
                 limit = np.searchsorted(line, np.arange(len(known) + 1))
-                for k, (x, y) in enumerate(pairs):
-                    x, y = token[limit[x]:limit[x + 1]], token[limit[y]:limit[y + 1]]
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    good[lo + k] = both >= threshold * (len(x) + len(y) - both) - 1e-9
+                kinds, token = np.unique(token, return_inverse=True)
+                size, pair = np.diff(limit), np.arange(hi - lo)
+                # The words of both lines of every pair in a row: those in common come twice.
+                both = np.sort(np.concatenate([np.repeat(pair, size[z]) * len(kinds) + token[_spans(limit[z], size[z])] for z in (x, y)]))
+                common = np.bincount(both[1:][both[1:] == both[:-1]] // max(len(kinds), 1), minlength=hi - lo)
+                good[lo:hi] = common >= threshold * (size[x] + size[y] - common) - 1e-9
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good))
 
     return run
@@ -322,7 +329,7 @@ def _judged(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, Da
     met = sets.select("key", "place", "size", *PARITIES, F.explode(F.array("group1", "group2")).alias("group"))
     # Smaller groups have as few pairs themselves.
     several = sets.select(F.explode(F.array("group1", "group2")).alias("group")).groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARES)
-    several = stage(several.select("group"), "line-large-groups")
+    several = stage(several.select("group"), "line-large-groups").hint("merge")
     grouped = stage(met.join(several, "group", "left_semi"), "line-groups")
     share = F.pmod("key", F.lit(SHARES)).alias("share")
     earliest = grouped.groupBy("group", share).agg(F.min(F.struct("place", "key", "size", *PARITIES)).alias("low"))
